@@ -1,0 +1,5 @@
+"""Nothing here: every operator of this library works on complete tables.
+
+First-wins removal and the exact split need all rows, so a stream of new files
+is handled by running the batch flow again.
+"""
