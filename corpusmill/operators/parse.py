@@ -16,8 +16,11 @@ from corpusmill.fixed_values import (
 from corpusmill.functions.text import strip
 from corpusmill.schemas import RAW_RECORDS
 
+# The look-arounds are word boundaries for any script. Behind their literal they
+# run only where it was found.
 _MODULE = (
-    rf"(?s)(?<!{WORD})module{WS}+{WORD}+.*?(?<!{WORD})endmodule(?!{WORD})"
+    rf"(?s)module(?<!{WORD}module){WS}+{WORD}+.*?"
+    rf"endmodule(?<!{WORD}endmodule)(?!{WORD})"
 )
 _MODULE_NAME = rf"module{WS}+({WORD}+)"
 # (?d): only a line feed ends a line.

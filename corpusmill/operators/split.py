@@ -29,6 +29,11 @@ def _draw(seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("split_key")))
 
 
+def _place() -> Column:
+    """`draw` has a fixed width, so this one string orders by (draw, split_key)."""
+    return F.concat("draw", "split_key")
+
+
 def split_keys(pairs: DataFrame, seed: int = fv.SEED) -> DataFrame:
     """Distinct keys and their place in the seeded order."""
     return (
@@ -39,7 +44,7 @@ def split_keys(pairs: DataFrame, seed: int = fv.SEED) -> DataFrame:
 
 
 def cut_points(keys: DataFrame) -> DataFrame:
-    """One row: the first val key and the first test key as (draw, split_key), or null.
+    """One row: the places of the first val key and of the first test key, or null.
 
     A histogram over the hash prefix tells in which bin each cut lies; only the
     keys of those two bins are ranked.
@@ -76,10 +81,9 @@ def cut_points(keys: DataFrame) -> DataFrame:
         )
         .filter("place = rank")
     )
-    at = F.struct("draw", "split_key")
     return ranked.agg(
-        F.max(F.when(F.col("split") == "val", at)).alias("val"),
-        F.max(F.when(F.col("split") == "test", at)).alias("test"),
+        F.max(F.when(F.col("split") == "val", _place())).alias("val"),
+        F.max(F.when(F.col("split") == "test", _place())).alias("test"),
     )
 
 
@@ -90,15 +94,9 @@ def split_of(keys: DataFrame) -> Column:
     with two constants however often the column is used.
     """
     cuts = cut_points(keys).first()
-    place = F.struct("draw", "split_key")
 
     def before(cut: str) -> Column:
-        first = cuts[cut]
-        if first is None:
-            return F.lit(True)
-        return place < F.struct(
-            F.lit(first["draw"]).alias("draw"), F.lit(first["split_key"]).alias("split_key")
-        )
+        return F.lit(True) if cuts[cut] is None else _place() < F.lit(cuts[cut])
 
     return F.when(before("val"), "train").when(before("test"), "val").otherwise("test")
 

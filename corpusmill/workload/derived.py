@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusmill.sources.files import with_extension
-from corpusmill.sources.tables import load_table
+from corpusmill.sources.tables import load_table, spread
 
 NL = "chr(10)"
 QUOTE = "chr(39)"
@@ -115,8 +115,14 @@ RECORDS_FROM_DOCUMENTS = "SELECT doc_id, text AS content, source AS source_path,
 
 
 def select(spark: SparkSession, folder: str, table: str, sql: str) -> DataFrame:
-    """Run one of the selects above on a given table."""
-    return spark.sql(sql.replace(f"FROM {table}", "FROM {source}"), source=load_table(spark, folder, table))
+    """Run one of the selects above on a given table.
+
+    A few-kilobyte table can turn into many megabytes of text here, so a scan
+    with fewer tasks than cores is spread first.
+    """
+    source = load_table(spark, folder, table)
+    source = spread(source, source.columns[0])
+    return spark.sql(sql.replace(f"FROM {table}", "FROM {source}"), source=source)
 
 
 def code_files(spark: SparkSession, folder: str) -> DataFrame:

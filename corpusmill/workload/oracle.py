@@ -87,6 +87,10 @@ LABELED = """labeled AS (
   FROM records)"""
 
 DOCUMENTS = f"docs AS ({d.RECORDS_FROM_DOCUMENTS})"
+# All parsed records as `docs`, numbered in record order.
+NUMBERED = (
+    "docs AS (SELECT row_number() OVER (ORDER BY ext_rank, source_path, pos) AS doc_id, * FROM records{0})"
+)
 PAIRS = f"pairs_in AS ({d.PAIRS})"
 PREDICTIONS = f"predictions AS ({d.PREDICTIONS})"
 BENCHMARK = f"bench AS ({d.BENCHMARK})"
@@ -325,6 +329,11 @@ def statements() -> dict[str, str]:
             SELECT coalesce(d.type, 'all') AS type, count(*) AS n_in, count(k.doc_id) AS n_kept,
                    count(k.doc_id) / CAST(greatest(count(*), 1) AS DOUBLE) * 100 AS retained_pct
             FROM docs d LEFT JOIN kept k USING (doc_id) GROUP BY ROLLUP (d.type)"""),
+        "dedupe_code": q(*_RECORD_INPUTS, NUMBERED.format(" WHERE type <> 'md_section'"), SIGNATURES, GREEDY,
+            select=f"SELECT {record_columns} FROM kept"),
+        "corpus_build": q(*_RECORD_INPUTS, NUMBERED.format(""), SIGNATURES, GREEDY,
+            LABELED.replace("FROM records", "FROM kept"), select=f"""
+            SELECT {record_columns}, domain, contains_assertion, contains_register_map, n_chars FROM labeled"""),
         "kept_by_source": q(*_DEDUPED, select="""
             SELECT source_path, count(*) AS n_docs, CAST(sum(length(content)) AS BIGINT) AS n_chars
             FROM kept GROUP BY source_path"""),
@@ -374,6 +383,12 @@ def statements() -> dict[str, str]:
             FROM (VALUES ('train'), ('val'), ('test')) n(name) LEFT JOIN split_pairs ON split = name GROUP BY name"""),
         "split_leak_check": q(PAIRS, SPLIT, "per AS (SELECT split_key, count(DISTINCT split) AS k FROM split_pairs GROUP BY 1)",
             select="SELECT count(*) AS n_keys, count(*) FILTER (k > 1) AS n_leaking FROM per"),
+        "tuning_build": q(*_RECORD_INPUTS, BUG_PAIRS, f"""pairs_in AS (
+            SELECT *, 'not_applicable' AS lint_status FROM bugs UNION ALL
+            SELECT t, i, n, o, 'verified_hand_written_seed', NULL, NULL, 'not_applicable'
+            FROM (VALUES {_SEEDS}) seeds(t, i, n, o))""", SPLIT, select="""
+            SELECT task_type, instruction, input, output, source, source_path, transform_applied, lint_status,
+                   split_key, split FROM split_pairs"""),
         # preferences and training views
         "make_rejected": q(PAIRS, select=f"""
             SELECT pair_id, CASE WHEN contains(output, 'assert property') AND {_REJECTED} <> output

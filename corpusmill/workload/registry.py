@@ -15,7 +15,6 @@ from corpusmill.operators import label, lint, pairs, parse, prefs, score, split
 from corpusmill.plans import corpus, scoring, tuning
 from corpusmill.runtime import scratch_path
 from corpusmill.sources import corpus_text, files, jsonl, results, seeds
-from corpusmill.sources.tables import spread
 from corpusmill.workload import derived
 from corpusmill.workload.corpus_folder import write_folder
 
@@ -32,11 +31,6 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as records, spread over the cores where Python work follows."""
-    return spread(derived.document_records(spark, folder), "doc_id")
-
-
 def _records(spark: SparkSession, folder: str) -> DataFrame:
     return parse.raw_records(derived.files(spark, folder))
 
@@ -128,7 +122,7 @@ def normalize_text(spark, folder):
 
 @_register
 def shingles(spark, folder):
-    each = _documents(spark, folder).select(
+    each = derived.document_records(spark, folder).select(
         "doc_id", F.explode(sketch.shingles(F.col("content"))).alias("s")
     )
     return each.groupBy("doc_id").agg(
@@ -141,7 +135,7 @@ def shingles(spark, folder):
 
 @_register
 def minhash(spark, folder):
-    signed = near.signatures(_documents(spark, folder), ["doc_id"])
+    signed = near.signatures(derived.document_records(spark, folder), ["doc_id"])
     return signed.select(
         "doc_id", F.concat_ws(",", F.col("sig").cast("array<string>")).alias("signature")
     )
@@ -149,29 +143,29 @@ def minhash(spark, folder):
 
 @_register
 def lsh_buckets(spark, folder):
-    return near.lsh_buckets(near.signatures(_documents(spark, folder), ["doc_id"]), ["doc_id"])
+    return near.lsh_buckets(near.signatures(derived.document_records(spark, folder), ["doc_id"]), ["doc_id"])
 
 
 @_register
 def lsh_pairs(spark, folder):
-    links = near.bucket_links(_documents(spark, folder), "doc_id")
+    links = near.bucket_links(derived.document_records(spark, folder), "doc_id")
     return links.withColumnRenamed("ord", "doc_id")
 
 
 @_register
 def dedupe(spark, folder):
-    return near.dedupe(_documents(spark, folder), ["doc_id"])
+    return near.dedupe(derived.document_records(spark, folder), ["doc_id"])
 
 
 @_register
 def dedupe_stats(spark, folder):
-    docs = _documents(spark, folder)
+    docs = derived.document_records(spark, folder)
     return near.dedupe_stats(docs, near.dedupe(docs, ["doc_id"]))
 
 
 @_register
 def kept_by_source(spark, folder):
-    return corpus.kept_by_source(_documents(spark, folder), ["doc_id"])
+    return corpus.kept_by_source(derived.document_records(spark, folder), ["doc_id"])
 
 
 @_register
