@@ -26,8 +26,8 @@ MIX = 0x7FEB352D
 EMPTY = (1 << 31) - 1
 
 # An empty match at every position that captures the five characters after it.
-# The look-behind skips the middle of a surrogate pair.
-_EACH_SHINGLE = rf"(?s)(?<![\x{{D800}}-\x{{DBFF}}])(?=(.{{{SHINGLE_CHARS}}}))"
+# The first look-ahead skips the middle of a surrogate pair.
+_EACH_SHINGLE = rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{SHINGLE_CHARS}}}))"
 
 
 def coefficient(letter: str, k: int) -> int:

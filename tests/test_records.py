@@ -1,0 +1,236 @@
+"""Parsing, labels, pairs, lint, preferences and scoring on edge rows."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusmill.functions.text import content_sha
+from corpusmill.operators import label, lint, pairs, parse, prefs, score
+from corpusmill.plans import tuning
+from corpusmill.schemas import LINT_RESULTS
+from corpusmill.sources.files import with_extension
+
+
+def files(spark, *rows):
+    return with_extension(spark.createDataFrame(list(rows), "path string, content string"))
+
+
+def records(spark, *rows):
+    out = parse.raw_records(files(spark, *rows)).orderBy("ext_rank", "source_path", "pos")
+    return [(r["type"], r["module_name"], r["title"], r["content"]) for r in out.collect()]
+
+
+def test_heading_whose_space_is_a_line_break(spark):
+    assert records(spark, ("a.md", "#\n## B\nx")) == [("md_section", None, "#\n## B", "#\n## B\n\nx")]
+
+
+def test_markdown_edges(spark):
+    assert records(spark, ("a.md", " \n\t ")) == []
+    assert records(spark, ("a.rst", " just text ")) == [("md_section", None, None, "just text")]
+    assert records(spark, ("a.md", "pre\n# A\n\n##### no\n## B")) == [
+        ("md_section", None, None, "pre"),
+        ("md_section", None, "# A", "# A\n\n##### no"),
+        ("md_section", None, "## B", "## B"),
+    ]
+
+
+def test_module_edges(spark):
+    assert records(spark, ("a.sv", "// module\nmodule b; endmodule x")) == [
+        ("sv_module", "module", None, "module\nmodule b; endmodule")
+    ]
+    assert records(spark, ("a.v", "  wire x;\n")) == [("sv_file", None, None, "wire x;")]
+    assert records(spark, ("a.svh", "")) == [("sv_file", None, None, "")]
+    assert records(spark, ("a.sv", "submodule x endmodule")) == [("sv_file", None, None, "submodule x endmodule")]
+    assert records(spark, ("a.sv", "module a; endmodules endmodule")) == [
+        ("sv_module", "a", None, "module a; endmodules endmodule")
+    ]
+
+
+def test_record_order_is_extension_then_path_then_position(spark):
+    out = parse.raw_records(
+        files(spark, ("b.md", "# x"), ("z.sv", "module a;endmodule module b;endmodule"), ("a.v", "t"))
+    )
+    got = [r["source_path"] + str(r["pos"]) for r in out.orderBy("ext_rank", "source_path", "pos").collect()]
+    assert got == ["z.sv0", "z.sv1", "a.v0", "b.md1"]
+
+
+def test_random_files_against_python(spark):
+    rng = random.Random(11)
+    bits = ["module", " ", "\n", "a1", "endmodule", "_", "é", "#", "##", "#####", "# t", "\u0085", " ", "x;"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 30))) for _ in range(600)]
+    rows = [(f"f{i:04}.{ext}", t) for i, t in enumerate(texts) for ext in ("sv", "md")]
+    got = {}
+    for r in parse.raw_records(files(spark, *rows)).orderBy("source_path", "pos").collect():
+        got.setdefault(r["source_path"], []).append((r["title"], r["content"]))
+    for path, t in rows:
+        if path.endswith(".sv"):
+            found = [m.group() for m in re.finditer(r"(?s)\bmodule\s+\w+.*?\bendmodule\b", t)]
+            want = [(None, m) for m in found or [t.strip()]]
+        else:
+            heads = list(re.finditer(r"(?m)^#{1,4}\s.+$", t))
+            ends = [h.start() for h in heads] + [len(t)]
+            want = [(None, t[: ends[0]].strip())]
+            for h, end in zip(heads, ends[1:]):
+                want.append((h.group().strip(), f"{h.group().strip()}\n\n{t[h.end():end].strip()}".strip()))
+            want = [w for w in want if w[1]]
+        assert got.get(path, []) == want, repr(t)
+
+
+def test_labels(spark):
+    rows = [
+        ("sv_module", "x `uvm_info y", "uvm"),
+        ("sv_module", "UVM_COMPONENT", "rtl"),
+        ("sv_file", "assert property", "rtl"),
+        ("md_section", "uvm_sequence", "uvm"),
+        ("md_section", "REGISTER MAP é", "doc"),
+    ]
+    out = label.label_chunks(spark.createDataFrame(rows, "type string, content string, want string")).collect()
+    assert [r["domain"] for r in out] == [r[2] for r in rows]
+    assert [r["contains_assertion"] for r in out] == [False, False, True, False, False]
+    assert [r["contains_register_map"] for r in out] == [False, False, False, False, True]
+    assert out[-1]["n_chars"] == 14
+
+
+def chunks(spark, *contents, kind="sv_module"):
+    rows = [(i, kind, c, f"p{i}") for i, c in enumerate(contents)]
+    return spark.createDataFrame(rows, "id bigint, type string, content string, source_path string")
+
+
+def test_bug_pair_length_limits(spark):
+    sized = [("==" + "x" * (n - 2)) for n in (39, 40, 3000, 3001)]
+    got = pairs.bug_pairs(chunks(spark, *sized), F.col("id").cast("string"))
+    assert sorted(len(r["input"]) for r in got.collect()) == [40, 3000]
+    assert pairs.bug_pairs(chunks(spark, *sized, kind="sv_file"), F.lit("k")).count() == 0
+
+
+def test_bug_choice_is_uniform_and_stable(spark):
+    text = "a == b; q <= q + 1'b1; if (!rst_n) q <= 0; " + "x" * 30
+    made = pairs.bug_pairs(chunks(spark, *[text] * 3000), F.col("id").cast("string"))
+    counts = {r["transform_applied"]: r["count"] for r in made.groupBy("transform_applied").count().collect()}
+    assert len(counts) == 3 and all(900 < n < 1100 for n in counts.values())
+    again = pairs.bug_pairs(chunks(spark, *[text] * 3000).repartition(17), F.col("id").cast("string"))
+    assert made.exceptAll(again).count() == 0
+
+
+def test_candidates(spark):
+    sized = chunks(spark, *["x" * n for n in (100, 101, 1999, 2000)])
+    key = F.col("id").cast("string")
+    assert sorted(len(r["content"]) for r in pairs.gen_candidates(sized, key).collect()) == [101, 1999]
+    many = chunks(spark, *["y" * 150 for _ in range(300)])
+    assert pairs.gen_candidates(many, key, n=15).count() == 15
+    plan = pairs.gen_candidates(many, key, n=15)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_completions_that_failed_give_no_pair(spark):
+    prompts = pairs.gen_prompts(chunks(spark, "module a; endmodule", "module b; endmodule"))
+    done = prompts.filter("id = 1").select("prompt_key", F.lit("answer").alias("completion"))
+    got = pairs.gen_ingest(prompts, done).collect()
+    assert [(r["input"], r["output"], r["source_path"]) for r in got] == [("module b; endmodule", "answer", "p1")]
+
+
+def test_lint_routing(spark):
+    def fenced(*codes):
+        return "\n".join(f"```systemverilog\n{c}\n```" for c in codes)
+
+    rows = [
+        (1, "rtl_generation", fenced("ok", "bad", "unknown"), "verilator_unavailable"),
+        (2, "rtl_generation", fenced("ok", "bad"), "verified_fail"),
+        (3, "rtl_generation", fenced("ok", "ok"), "verified_pass"),
+        (4, "rtl_generation", "no code", "not_applicable"),
+        (5, "rtl_explanation", fenced("bad"), "not_applicable"),
+        (6, "rtl_bug_fix", fenced("never checked"), "verilator_unavailable"),
+    ]
+    table = spark.createDataFrame(rows, "pair_id bigint, task_type string, output string, want string")
+    outcome = spark.createDataFrame([("ok", True), ("bad", False), ("unknown", None)], "code string, ok boolean")
+    results = outcome.select(lint.code_sha(F.col("code")).alias("code_sha"), "ok")
+    out = lint.lint_status(table, results)
+    assert all(r["lint_status"] == r["want"] for r in out.collect()) and out.count() == 6
+    assert sorted(r["pair_id"] for r in lint.lint_filter(out).collect()) == [1, 3, 4, 5, 6]
+    assert lint.lint_stats(out).first().asDict() == {
+        "n_pairs": 6, "n_passed": 1, "n_failed": 1, "n_skipped": 4, "n_dropped": 1,
+    }
+    assert lint.blocks_to_check(table).count() == 4
+    assert {r["lint_status"] for r in lint.lint_status(table, results, verify_tasks=["rtl_explanation"])
+            .filter("task_type = 'rtl_explanation'").collect()} == {"verified_fail"}
+
+
+def test_lint_filter_keeps_missing_status(spark):
+    table = spark.createDataFrame([(None,), ("verified_fail",), ("x",)], "lint_status string")
+    assert lint.lint_filter(table).count() == 2
+
+
+def test_preferences(spark):
+    good = "  assert property (a\n    b);\nx"
+    rows = [
+        ("sva_assertion_generation", good),
+        ("sva_assertion_generation", "lbl: assert property (x);"),
+        ("sva_assertion_generation", "none"),
+        ("rtl_explanation", good),
+    ]
+    table = spark.createDataFrame(rows, "task_type string, output string").withColumns(
+        {"instruction": F.lit("do"), "input": F.lit("code")}
+    )
+    only = prefs.dpo_pairs(table).collect()
+    assert [tuple(r) for r in only] == [
+        ("do\n\nCode:\ncode", good, "  // assert property (a  (disabled - checks nothing)\n    b);\nx")
+    ]
+    assert prefs.rl_prompts(table).count() == 3
+    guards = {r["dataset"]: r["verdict"] for r in prefs.size_guards(prefs.dpo_pairs(table), table.limit(0)).collect()}
+    assert guards == {"preference_pairs": "warn_few", "reward_prompts": "stop_empty"}
+
+
+def test_training_text(spark):
+    row = spark.createDataFrame([("I", "N", "O")], "instruction string, input string, output string")
+    assert prefs.sft_text(row).first()["text"] == "### Instruction:\nI\n\n### Input:\nN\n\n### Response:\nO"
+
+
+def test_summary_counts_missing_scores_as_zero(spark):
+    rows = [("t", 1.0, True), ("t", None, None), ("u", None, None)]
+    table = spark.createDataFrame(rows, "tag string, rouge_l double, compiles boolean")
+    got = {r["tag"]: (r["avg_rouge_l"], r["compile_rate"]) for r in score.eval_summary(table).collect()}
+    assert got == {"t": (0.5, 1.0), "u": (0.0, 0.0)}
+
+
+def test_reward_and_compiles(spark):
+    code = "assert property (x);"
+    rows = [(1, f"text\n```\n{code}\n```"), (2, "plain"), (3, "fails"), (4, "unknown"), (5, "missing")]
+    table = spark.createDataFrame(rows, "id bigint, completion string")
+    outcome = spark.createDataFrame(
+        [(code, True), ("plain", True), ("fails", False), ("unknown", None)], "code string, ok boolean"
+    ).select(lint.code_sha(F.col("code")).alias("code_sha"), "ok")
+    got = {r["id"]: r["reward"] for r in score.reward(table, outcome).collect()}
+    assert got == {1: 1.0, 2: 0.3, 3: 0.0, 4: 0.0, 5: 0.0}
+    tasks = table.withColumns(
+        {"prediction": F.col("completion"), "task_type": F.when(F.col("id") < 4, "rtl_bug_finding").otherwise("rtl_explanation")}
+    )
+    flags = {r["id"]: r["compiles"] for r in score.eval_compiles(tasks, outcome).collect()}
+    assert flags == {1: True, 2: True, 3: False, 4: None, 5: None}
+
+
+def test_throughput_of_an_instant_answer(spark):
+    row = spark.createDataFrame([(100, 0.0), (100, 2.0)], "n_tokens_total bigint, elapsed_s double")
+    got = [r["tok_per_sec"] for r in score.eval_throughput(row).collect()]
+    assert got == [pytest.approx(1e8), 50.0]
+
+
+def test_tuning_flow_drops_failed_pairs(spark):
+    seeds = spark.createDataFrame(
+        [("rtl_generation", "i", "n", "```\nbad\n```", "s"), ("rtl_generation", "i", "n", "fine", "s")],
+        "task_type string, instruction string, input string, output string, source string",
+    )
+    failed = spark.createDataFrame([("bad", False)], "code string, ok boolean").select(
+        lint.code_sha(F.col("code")).alias("code_sha"), "ok"
+    )
+    code = "module m; a == b; " + "x" * 40
+    out = tuning.build_pairs(chunks(spark, code), F.col("id").cast("string"), seeds, lint_results=failed)
+    assert sorted(r["output"][:5] for r in out.collect()) == ["**Bug", "fine"]
+    no_checker = spark.createDataFrame([], LINT_RESULTS)
+    assert tuning.build_pairs(chunks(spark, code), F.col("id").cast("string"), seeds, lint_results=no_checker).count() == 3
+
+
+def test_content_sha_separates_its_parts(spark):
+    got = spark.range(1).select(content_sha(F.lit("a"), F.lit("bc")), content_sha(F.lit("ab"), F.lit("c"))).first()
+    assert got[0] != got[1]
