@@ -11,10 +11,12 @@ The hash family is defined by rule so that SQL can compute the same numbers:
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -22,6 +24,9 @@ from pyspark.sql.types import ArrayType, IntegerType
 from corpusmill.fixed_values import BAND_ROWS, BANDS, NUM_PERM, SHINGLE_CHARS
 from corpusmill.functions.text import normalize
 
+# Workers get this module's functions with the task and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MIX = 0x7FEB352D
 EMPTY = (1 << 31) - 1
 

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 
+# Workers get this module's functions with the task and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def lcs_length(a: list[str], b: list[str]) -> int:
     """Longest common subsequence with one bit per token of `b` (Hyyro, 2004).
 

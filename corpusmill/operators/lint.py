@@ -21,7 +21,7 @@ def blocks_to_check(pairs: DataFrame, verify_tasks: Sequence[str] = fv.VERIFY_TA
         pairs.filter(F.col("task_type").isin(*verify_tasks))
         .select(F.explode(code_blocks(F.col("output"))).alias("code"))
         .select(code_sha(F.col("code")).alias("code_sha"), "code")
-        .dropDuplicates(["code_sha"])
+        .distinct()
     )
 
 
