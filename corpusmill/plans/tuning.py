@@ -10,6 +10,7 @@ from corpusmill import fixed_values as fv
 from corpusmill.operators.lint import lint_filter, lint_status
 from corpusmill.operators.pairs import bug_pairs, pair_key, pairs_union
 from corpusmill.operators.split import split_rows
+from corpusmill.runtime import materialize
 from corpusmill.schemas import LINT_RESULTS, PAIRS
 
 
@@ -31,4 +32,6 @@ def build_pairs(
     if lint_results is None:
         lint_results = chunks.sparkSession.createDataFrame([], LINT_RESULTS)
     kept = lint_filter(lint_status(pairs, lint_results, "pair_id", verify_tasks))
+    # The split reads the pairs twice, for the cut points and for the rows.
+    kept = materialize(kept, "pairs")
     return split_rows(kept).select(*PAIRS.fieldNames(), "split_key", "split")
