@@ -34,7 +34,9 @@ def _is_code() -> Column:
 
 
 def _modules(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(_MODULE), 0)
+    # Without the closing word every opening one would be searched to the end.
+    found = F.regexp_extract_all(text, F.lit(_MODULE), 0)
+    return F.when(text.contains("endmodule"), found).otherwise(F.array().cast("array<string>"))
 
 
 def _sections(text: Column) -> Column:

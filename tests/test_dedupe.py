@@ -96,6 +96,25 @@ def test_more_seeds(spark):
         assert kept_ids(dedupe.dedupe(records, ["id"], hot_rows=3)) == walk(rows)
 
 
+def test_removed_records_remove_nothing(spark):
+    """A~B, B~C and not A~C keeps A and C; and random buckets follow the walk."""
+    rng = random.Random(4)
+    rows = [(0, [b"x", b"p"]), (1, [b"x", b"y"]), (2, [b"y", b"q"])]
+    rows += [(i, [b"%d" % rng.randrange(900) for _ in range(3)]) for i in range(3, 1200)]
+    banded = spark.createDataFrame([(i, sorted(set(b))) for i, b in rows], "ord bigint, bands array<binary>")
+    closed, kept = set(), []
+    for i, buckets in rows:
+        if not closed & set(buckets):
+            kept.append(i)
+            closed |= set(buckets)
+    removed = [
+        r["ord"]
+        for part in dedupe._removed_in_rounds(dedupe._shared_buckets(banded, 2))
+        for r in part.collect()
+    ]
+    assert {0, 2} <= set(kept) and sorted(removed) == sorted(set(range(1200)) - set(kept))
+
+
 def test_length_limit_and_blank_records(spark):
     rows = [(1, "x" * 49), (2, "y" * 50), (3, " " * 60), (4, "\t" * 80)]
     records = spark.createDataFrame(rows, "id bigint, content string")

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import content_sha
+from corpusmill.functions.text import code_blocks, content_sha, normalize
 from corpusmill.operators import label, lint, pairs, parse, prefs, score
 from corpusmill.plans import tuning
 from corpusmill.schemas import LINT_RESULTS
@@ -78,6 +78,28 @@ def test_random_files_against_python(spark):
         assert got.get(path, []) == want, repr(t)
 
 
+def test_very_long_files(spark):
+    """Patterns must neither overflow the stack nor go quadratic on long texts."""
+    filler = "x = y; " * 400_000
+    blank = " \n" * 500_000
+    rows = [
+        ("a.sv", f"module a; {filler} endmodule"),
+        ("b.sv", "module " * 200_000),
+        ("c.md", f"# T\n{filler}\n{blank}"),
+        ("d.md", "##### " * 200_000),
+    ]
+    got = {r["source_path"]: len(r["content"]) for r in parse.raw_records(files(spark, *rows)).collect()}
+    assert got == {"a.sv": len(rows[0][1]), "b.sv": 1_399_999, "c.md": 5 + len(filler) - 1, "d.md": 1_199_999}
+    text = f"{filler}```\n{filler}\n```{blank}assert property"
+    edited = chunks(spark, text).select(
+        F.length(pairs.inject(F.col("content"), "off_by_one_increment")),
+        F.size(code_blocks(F.col("content"))),
+        F.length(normalize(F.col("content"))),
+        prefs.make_rejected(F.concat(F.lit("a"), F.col("content"))).isNull(),
+    ).first()
+    assert tuple(edited)[1:] == (1, len(" ".join(text.split())), False)
+
+
 def test_labels(spark):
     rows = [
         ("sv_module", "x `uvm_info y", "uvm"),
