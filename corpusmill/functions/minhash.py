@@ -1,90 +1,25 @@
-"""MinHash signatures of 5-character shingles, and their band keys.
-
-The hash family is defined by rule so that SQL can compute the same numbers:
-
-* a shingle's hash x starts at 0; for each code point c, x = ((x xor c) * MIX)
-  mod 2^32, then x = x xor (x >> 15);
-* permutation k maps x to (a_k * x + b_k) mod 2^32, a_k odd, both from md5;
-* the signature keeps the upper 31 bits of each minimum, so it fits an int.
-"""
+"""MinHash signatures of 5-character shingles, and their band keys, as columns."""
 
 from __future__ import annotations
 
-import hashlib
-import sys
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from corpusmill.fixed_values import BAND_ROWS, BANDS, NUM_PERM, SHINGLE_CHARS
+from corpusmill.fixed_values import BAND_ROWS, BANDS, SHINGLE_CHARS
+from corpusmill.functions import sketch
 from corpusmill.functions.text import normalize
 
-# Workers get this module's functions with the task and need no installed package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-MIX = 0x7FEB352D
-EMPTY = (1 << 31) - 1
-
 # An empty match at every position that captures the five characters after it.
 # The first look-ahead skips the middle of a surrogate pair.
 _EACH_SHINGLE = rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{SHINGLE_CHARS}}}))"
 
-
-def coefficient(letter: str, k: int) -> int:
-    return int(hashlib.md5(f"{letter}{k}".encode()).hexdigest()[:8], 16) % (1 << 31)
-
-
-MULTIPLIERS = [coefficient("a", k) | 1 for k in range(NUM_PERM)]
-OFFSETS = [coefficient("b", k) for k in range(NUM_PERM)]
-_A = np.array(MULTIPLIERS, dtype=np.uint32)[:, None]
-_B = np.array(OFFSETS, dtype=np.uint32)[:, None]
-
-
-def shingle_hashes(text: str) -> np.ndarray:
-    """One uint32 per shingle position of an already normalised text."""
-    points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
-    n = len(points) - SHINGLE_CHARS + 1
-    x = np.zeros(max(n, 0), dtype=np.uint32)
-    if n > 0:
-        for i in range(SHINGLE_CHARS):
-            x = (x ^ points[i : i + n]) * np.uint32(MIX)
-            x ^= x >> np.uint32(15)
-    return x
-
-
-def distinct(hashes: np.ndarray) -> np.ndarray:
-    """Sorted distinct values; a plain sort is much faster here than np.unique."""
-    ordered = np.sort(hashes)
-    return ordered[np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)]]
-
-
-def minima(hashes: np.ndarray, block: int = 512) -> np.ndarray:
-    """The 128 permuted minima, in blocks that stay in the CPU cache."""
-    values = distinct(hashes)
-    low = np.full(NUM_PERM, 0xFFFFFFFF, dtype=np.uint32)
-    buffer = np.empty((NUM_PERM, min(block, len(values))), dtype=np.uint32)
-    for start in range(0, len(values), block):
-        part = values[start : start + block]
-        permuted = np.multiply(_A, part, out=buffer[:, : len(part)])
-        permuted += _B
-        np.minimum(low, permuted.min(axis=1), out=low)
-    return (low >> np.uint32(1)).astype(np.int32)
-
-
-@F.pandas_udf(ArrayType(IntegerType()))
-def _signature(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield batch.map(lambda text: minima(shingle_hashes(text)), na_action="ignore")
+_signature = F.pandas_udf(sketch.signatures, ArrayType(IntegerType()))
 
 
 def signature(text: Column) -> Column:
     """array<int> of 128; a text without shingles gets the constant EMPTY array."""
-    return _signature(normalize(text))
+    return _signature(text)
 
 
 def band_keys(sig: Column) -> Column:

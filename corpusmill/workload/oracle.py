@@ -7,7 +7,7 @@ written for DuckDB alone, from the definition of each operator.
 from __future__ import annotations
 
 from corpusmill import fixed_values as fv
-from corpusmill.functions.minhash import EMPTY, MIX, MULTIPLIERS, OFFSETS
+from corpusmill.functions.sketch import EMPTY, MIX, MULTIPLIERS
 from corpusmill.functions.text import STRIP_CHARS
 from corpusmill.sources.seeds import DEFAULT_SEEDS
 from corpusmill.workload import derived as d
@@ -118,8 +118,7 @@ def _mix_steps() -> list[str]:
 
 
 _MINIMA = ", ".join(
-    f"coalesce(min(({a} * x + {b}) % {_TWO_32}) >> 1, {EMPTY}) AS s{k}"
-    for k, (a, b) in enumerate(zip(MULTIPLIERS, OFFSETS))
+    f"coalesce(min(({a} * x) % {_TWO_32}) >> 1, {EMPTY}) AS s{k}" for k, a in enumerate(MULTIPLIERS)
 )
 _BANDS = ", ".join(
     f"md5('{band}|' || concat_ws(',', " + ", ".join(f"s{band * 16 + i}" for i in range(16)) + "))"

@@ -5,12 +5,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.functions import minhash
+from corpusmill.functions import sketch
 from corpusmill.operators import dedupe
 
 
 def keys(text: str) -> set:
-    sig = minhash.minima(minhash.shingle_hashes(" ".join(text.lower().split())))
+    sig = sketch.minima(sketch.shingle_hashes(" ".join(text.lower().split())))
     return {(b, tuple(sig[b * 16 : b * 16 + 16])) for b in range(8)}
 
 

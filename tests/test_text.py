@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.functions import minhash, rouge, text
+from corpusmill.functions import lcs, minhash, rouge, sketch, text
 from corpusmill.operators import pairs, prefs
 
 PIECES = list("ab AB=+'!\t\n\r\x0b\x0c\x1c\x1f\x85\xa0  　​Éßİé中😀#`") + [
@@ -99,9 +99,9 @@ def slow_signature(normalized: str) -> list[int]:
     for i in range(len(normalized) - 4):
         x = 0
         for c in normalized[i : i + 5]:
-            x = ((x ^ ord(c)) * minhash.MIX) % 2**32
+            x = ((x ^ ord(c)) * sketch.MIX) % 2**32
             x ^= x >> 15
-        low = [min(v, (a * x + b) % 2**32) for v, a, b in zip(low, minhash.MULTIPLIERS, minhash.OFFSETS)]
+        low = [min(v, a * x % 2**32) for v, a in zip(low, sketch.MULTIPLIERS)]
     return [v >> 1 for v in low]
 
 
@@ -112,18 +112,23 @@ def test_signature_follows_its_rule(samples):
 
 
 def test_signature_of_text_without_shingles():
-    assert set(minhash.minima(minhash.shingle_hashes("abcd"))) == {minhash.EMPTY}
+    assert set(sketch.minima(sketch.shingle_hashes("abcd"))) == {sketch.EMPTY}
 
 
 def test_signatures_estimate_similarity():
-    rng, errors = random.Random(3), []
-    for _ in range(200):
-        a = "".join(rng.choices("abcdefghijklmnop ", k=500))
-        b = a[: rng.randint(50, 450)] + "".join(rng.choices("abcdefghijklmnop ", k=200))
+    """Unbiased, and spread like 128 independent draws, for texts of any size."""
+    rng, errors, scaled = random.Random(3), [], []
+    for _ in range(4000):
+        n = rng.choice([40, 200, 800])
+        a = "".join(rng.choices("abcdefghijklmnop ", k=n))
+        b = a[: rng.randint(5, n - 5)] + "".join(rng.choices("abcdefghijklmnop ", k=n // 3))
         sa, sb = ({t[i : i + 5] for i in range(len(t) - 4)} for t in (a, b))
-        same = minhash.minima(minhash.shingle_hashes(a)) == minhash.minima(minhash.shingle_hashes(b))
-        errors.append(same.mean() - len(sa & sb) / len(sa | sb))
-    assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.06
+        same = sketch.minima(sketch.shingle_hashes(a)) == sketch.minima(sketch.shingle_hashes(b))
+        share = len(sa & sb) / len(sa | sb)
+        errors.append(same.mean() - share)
+        scaled.append(errors[-1] / max((share * (1 - share) / 128) ** 0.5, 0.01))
+    assert abs(np.mean(errors)) < 0.002
+    assert 0.9 < np.std(scaled) < 1.1
 
 
 # ---- ROUGE ------------------------------------------------------------------
@@ -140,7 +145,7 @@ def test_lcs_against_the_table():
     rng = random.Random(5)
     for _ in range(400):
         a, b = (rng.choices("abcd", k=rng.randint(0, 140)) for _ in range(2))
-        assert rouge.lcs_length(a, b) == slow_lcs(a, b)
+        assert lcs.lcs_length(a, b) == slow_lcs(a, b)
 
 
 def test_rouge_edges(spark):
