@@ -148,8 +148,7 @@ def lsh_buckets(spark, folder):
 
 @_register
 def lsh_pairs(spark, folder):
-    links = near.bucket_links(derived.document_records(spark, folder), "doc_id")
-    return links.withColumnRenamed("ord", "doc_id")
+    return near.bucket_links(derived.document_records(spark, folder), "doc_id")
 
 
 @_register

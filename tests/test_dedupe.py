@@ -83,6 +83,13 @@ def test_order_by_several_columns(spark, table):
     assert kept_ids(dedupe.dedupe(named, ["path", "pos"])) == want
 
 
+def test_the_order_column_may_have_any_name(table):
+    records, want = table
+    for name in ("ord", "bands", "bucket"):
+        renamed = records.withColumnRenamed("id", name)
+        assert sorted(r[name] for r in dedupe.dedupe(renamed, [name]).collect()) == want
+
+
 def test_a_second_run_removes_nothing(table):
     records, want = table
     once = dedupe.dedupe(records, ["id"])
@@ -101,14 +108,14 @@ def test_removed_records_remove_nothing(spark):
     rng = random.Random(4)
     rows = [(0, [b"x", b"p"]), (1, [b"x", b"y"]), (2, [b"y", b"q"])]
     rows += [(i, [b"%d" % rng.randrange(900) for _ in range(3)]) for i in range(3, 1200)]
-    banded = spark.createDataFrame([(i, sorted(set(b))) for i, b in rows], "ord bigint, bands array<binary>")
+    banded = spark.createDataFrame([(i, sorted(set(b))) for i, b in rows], "__ord bigint, __bands array<binary>")
     closed, kept = set(), []
     for i, buckets in rows:
         if not closed & set(buckets):
             kept.append(i)
             closed |= set(buckets)
     removed = [
-        r["ord"]
+        r["__ord"]
         for part in dedupe._removed_in_rounds(dedupe._shared_buckets(banded, 2))
         for r in part.collect()
     ]

@@ -95,7 +95,7 @@ def test_a_code_block_shared_by_a_third_of_the_pairs_is_split(spark):
 def test_bucket_list_for_broadcast_is_bounded(spark):
     """The limit grows with the table, so the list of hot buckets cannot."""
     rows = [(i, [bytes([i % 7]), bytes([100 + i % 11])]) for i in range(400)]
-    banded = spark.createDataFrame(rows, "ord bigint, bands array<binary>")
+    banded = spark.createDataFrame(rows, "__ord bigint, __bands array<binary>")
     old = dedupe.MAX_HOT_BUCKETS
     dedupe.MAX_HOT_BUCKETS = 4
     try:
