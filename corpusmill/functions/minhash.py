@@ -23,11 +23,17 @@ def signature(text: Column) -> Column:
 
 
 def band_keys(sig: Column) -> Column:
-    """array<binary> of 8: md5 of the band number and its 16 values."""
-    return F.array(*[F.unhex(band_key_hex(sig, band)) for band in range(BANDS)])
+    """The 8 band keys, 16 bytes each, in one binary value."""
+    return F.concat(*[F.unhex(band_key_hex(sig, band)) for band in range(BANDS)])
+
+
+def each_band_key(keys: Column) -> Column:
+    """array<binary> of the 8 keys in the result of `band_keys`."""
+    return F.array(*[F.substring(keys, 16 * band + 1, 16) for band in range(BANDS)])
 
 
 def band_key_hex(sig: Column, band: int) -> Column:
+    """md5 of the band number and the band's 16 values."""
     rows = F.slice(sig, band * BAND_ROWS + 1, BAND_ROWS).cast("array<string>")
     return F.md5(F.concat(F.lit(f"{band}|"), F.concat_ws(",", rows)))
 

@@ -108,7 +108,7 @@ def test_removed_records_remove_nothing(spark):
     rng = random.Random(4)
     rows = [(0, [b"x", b"p"]), (1, [b"x", b"y"]), (2, [b"y", b"q"])]
     rows += [(i, [b"%d" % rng.randrange(900) for _ in range(3)]) for i in range(3, 1200)]
-    banded = spark.createDataFrame([(i, sorted(set(b))) for i, b in rows], "__ord bigint, __bands array<binary>")
+    members = spark.createDataFrame([(i, b) for i, own in rows for b in set(own)], "__ord bigint, bucket binary")
     closed, kept = set(), []
     for i, buckets in rows:
         if not closed & set(buckets):
@@ -116,7 +116,7 @@ def test_removed_records_remove_nothing(spark):
             closed |= set(buckets)
     removed = [
         r["__ord"]
-        for part in dedupe._removed_in_rounds(dedupe._shared_buckets(banded, 2))
+        for part in dedupe._removed_in_rounds(dedupe._shared_buckets(members, 2))
         for r in part.collect()
     ]
     assert {0, 2} <= set(kept) and sorted(removed) == sorted(set(range(1200)) - set(kept))

@@ -94,16 +94,16 @@ def test_a_code_block_shared_by_a_third_of_the_pairs_is_split(spark):
 
 def test_bucket_list_for_broadcast_is_bounded(spark):
     """The limit grows with the table, so the list of hot buckets cannot."""
-    rows = [(i, [bytes([i % 7]), bytes([100 + i % 11])]) for i in range(400)]
-    banded = spark.createDataFrame(rows, "__ord bigint, __bands array<binary>")
+    rows = [(i, bytes([b])) for i in range(400) for b in (i % 7, 100 + i % 11)]
+    members = spark.createDataFrame(rows, "__ord bigint, bucket binary")
     old = dedupe.MAX_HOT_BUCKETS
     dedupe.MAX_HOT_BUCKETS = 4
     try:
-        shared = dedupe._shared_buckets(banded, hot_rows=1)
+        shared = dedupe._shared_buckets(members, hot_rows=1)
         # 800 member rows and at most 4 hot buckets: the limit is 200, above every bucket.
         assert shared.agg(F.max("salts")).first()[0] == 1 and shared.count() == 800
     finally:
         dedupe.MAX_HOT_BUCKETS = old
-    salted = dedupe._shared_buckets(banded, hot_rows=10)
+    salted = dedupe._shared_buckets(members, hot_rows=10)
     assert salted.agg(F.max("salts")).first()[0] == 6 and salted.count() == 800
     assert salted.select("bucket", "salt").distinct().count() > 18
