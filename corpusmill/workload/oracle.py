@@ -350,6 +350,9 @@ def statements() -> dict[str, str]:
         "cpt_stats": q(DOCUMENTS, f"t AS (SELECT length({_strip('content')}) AS n FROM docs)", select="""
             SELECT count(*) AS candidate_docs, count(*) FILTER (n >= 30) AS kept_docs,
                    CAST(coalesce(sum(n) FILTER (n >= 30), 0) AS BIGINT) AS kept_chars FROM t"""),
+        "boundary_collisions": q(DOCUMENTS, select=f"""
+            SELECT count(*) FILTER (contains(content, '<|endofdoc|>')) AS n_docs_with_boundary
+            FROM docs WHERE length({_strip('content')}) >= 30"""),
         # instruction pairs
         "inject_flip": _inject(_FLIP.format("content")),
         "inject_offby1": _inject(_OFF.format("content")),
@@ -366,6 +369,7 @@ def statements() -> dict[str, str]:
             SELECT pair_id, CAST(len(regexp_extract_all(output, '{_BLOCKS}', 1)) AS INTEGER) AS n_blocks,
                    array_to_string(regexp_extract_all(output, '{_BLOCKS}', 1), chr(1)) AS blocks,
                    {_first_code('output')} AS first_code FROM pairs_in"""),
+        "lint_blocks": q(PAIRS, LINT, select="SELECT DISTINCT sha256(code) AS code_sha, code FROM blocks"),
         "lint_status": q(PAIRS, LINT, select="SELECT pair_id, task_type, lint_status FROM linted"),
         "lint_filter": q(PAIRS, LINT, select="SELECT pair_id, output, lint_status FROM linted WHERE lint_status <> 'verified_fail'"),
         "lint_stats": q(PAIRS, LINT, select="""

@@ -220,6 +220,11 @@ def cpt_stats(spark, folder):
     return corpus_text.cpt_stats(derived.document_records(spark, folder))
 
 
+@_register
+def boundary_collisions(spark, folder):
+    return corpus_text.boundary_collisions(derived.document_records(spark, folder))
+
+
 # ---- instruction pairs ------------------------------------------------------
 def _injected(spark, folder, edit: str) -> DataFrame:
     modules = _code_records(spark, folder).filter(F.col("type") == "sv_module")
@@ -294,6 +299,11 @@ def _linted(spark, folder) -> DataFrame:
     return lint.lint_status(rows, derived.lint_results(lint.blocks_to_check(rows)))
 
 
+@_register
+def lint_blocks(spark, folder):
+    return lint.blocks_to_check(derived.pairs(spark, folder))
+
+
 @_register
 def lint_status(spark, folder):
     return _linted(spark, folder).select("pair_id", "task_type", "lint_status")
