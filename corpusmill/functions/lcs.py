@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -12,20 +13,34 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+# Bit masks kept per pair of texts; rarer tokens of very long texts are rebuilt.
+MASK_BYTES = 1 << 28
+
+
 def lcs_length(a: list[str], b: list[str]) -> int:
     """Longest common subsequence with one bit per token of `b` (Hyyro, 2004).
 
     A whole row of the usual table is one integer, so a token of `a` costs one
     addition over len(b)/64 machine words and no text has to be cut short.
     """
-    places: dict[str, int] = {}
+    places: dict[str, list[int]] = {}
     for i, token in enumerate(b):
-        places[token] = places.get(token, 0) | (1 << i)
+        places.setdefault(token, []).append(i)
+    width = len(b) // 8 + 1
+
+    @lru_cache(maxsize=max(1, MASK_BYTES // width))
+    def mask(token: str) -> int:
+        bits = bytearray(width)
+        for i in places[token]:
+            bits[i >> 3] |= 1 << (i & 7)
+        return int.from_bytes(bits, "little")
+
     full = (1 << len(b)) - 1
     row = full
     for token in a:
-        hits = row & places.get(token, 0)
-        row = ((row + hits) | (row - hits)) & full
+        if token in places:
+            hits = row & mask(token)
+            row = ((row + hits) | (row - hits)) & full
     return len(b) - row.bit_count()
 
 

@@ -148,6 +148,18 @@ def test_lcs_against_the_table():
         assert lcs.lcs_length(a, b) == slow_lcs(a, b)
 
 
+def test_lcs_of_long_texts_with_few_masks_kept(monkeypatch):
+    rng = random.Random(6)
+    a, b = ([str(rng.randrange(400)) for _ in range(1500)] for _ in range(2))
+    want = slow_lcs(a, b)
+    assert lcs.lcs_length(a, b) == want
+    monkeypatch.setattr(lcs, "MASK_BYTES", 1000)
+    assert lcs.lcs_length(a, b) == want
+    # Mostly distinct tokens: the masks of all of them would not fit in memory.
+    many = [str(i) for i in range(60_000)]
+    assert lcs.lcs_length(many[:300], many) == 300
+
+
 def test_rouge_edges(spark):
     rows = [
         ("the dog sat on the mat", "the cat sat on mat", 8 / 11),
