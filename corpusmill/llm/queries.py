@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import url_filter
+from corpusmill.llm import bpe, url_filter
 from corpusmill.sources.tables import load_table
 
 URL_RULES = (
@@ -31,6 +32,17 @@ def op2_url_filter(spark, folder):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def tokenizer_path() -> str:
+    """The production vocabulary; any byte-level BPE file of the same format will do."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_register
+def op5_bpe(spark, folder):
+    documents = load_table(spark, folder, "documents")
+    return bpe.token_digests(documents, bpe.broadcast_vocabulary(spark, tokenizer_path()))
+
+
 _ORACLES = {
     "op2_url_filter": r"""
         WITH parts AS (
