@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import bpe, url_filter
+from corpusmill.llm import bpe, multiset_hash, url_filter
 from corpusmill.sources.tables import load_table
 
 URL_RULES = (
@@ -32,6 +32,11 @@ def op2_url_filter(spark, folder):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@_register
+def op4_multiset_hash(spark, folder):
+    return multiset_hash.fingerprint_edits(load_table(spark, folder, "documents"))
+
+
 def tokenizer_path() -> str:
     """The production vocabulary; any byte-level BPE file of the same format will do."""
     return public_tokenizers.path("byte_bpe_50k.json")
