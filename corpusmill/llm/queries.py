@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, multiset_hash, url_filter
+from corpusmill.llm import bpe, multiset_hash, quality, toxicity, url_filter
+from corpusmill.runtime import materialize
 from corpusmill.sources.tables import load_table
 
 URL_RULES = (
@@ -48,6 +50,32 @@ def op5_bpe(spark, folder):
     return bpe.token_digests(documents, bpe.broadcast_vocabulary(spark, tokenizer_path()))
 
 
+def toxicity_model(spark, folder, documents: DataFrame):
+    """Fitted on the labelled rows among `documents`, a bounded sample of them."""
+    labels = load_table(spark, folder, "labels").select("doc_id", "toxic")
+    graded = materialize(toxicity.severity_grades(labels, "toxic", documents), "grades")
+    return toxicity.fit(documents, graded)
+
+
+@_register
+def op7_toxicity(spark, folder):
+    documents = load_table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity_model(spark, folder, documents))
+
+
+def held_out(key) -> Column:
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+@_register
+def op8_quality(spark, folder):
+    documents = load_table(spark, folder, "documents")
+    labels = load_table(spark, folder, "labels").select("doc_id", "quality")
+    model = quality.fit(documents, labels.filter(~held_out(F.col("doc_id"))), "quality")
+    scored = quality.score(documents, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 _ORACLES = {
     "op2_url_filter": r"""
         WITH parts AS (

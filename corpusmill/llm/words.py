@@ -15,8 +15,15 @@ import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
 
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_BLANKS = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
+#: Words are whatever stands between blanks.
+WORD_CLASSES = np.ones(256, dtype=np.uint8)
+WORD_CLASSES[_BLANKS] = 0
+#: Letters (1; also every byte of a non-ASCII character), digits (2) and marks (3) apart.
+TOKEN_CLASSES = np.full(256, 3, dtype=np.uint8)
+TOKEN_CLASSES[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+TOKEN_CLASSES[48:58] = 2
+TOKEN_CLASSES[_BLANKS] = 0
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -42,24 +49,24 @@ def multipliers(n: int, seed: int = 0) -> np.ndarray:
 
 
 class Slice:
-    """Words of consecutive texts: byte places, and the first word of each text."""
+    """Words of consecutive texts: byte places, and the first word of each text.
 
-    def __init__(self, first: int, data: np.ndarray, offsets: np.ndarray) -> None:
+    A word is a longest run of bytes of one class; class 0 separates.
+    """
+
+    def __init__(self, first: int, data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> None:
         self.first = first  # row of the first text in its batch
         self.data = data
         self.offsets = offsets
         self.n_texts = len(offsets) - 1
-        word = ~_BLANK[data]
-        begins = word.copy()
-        begins[1:] &= ~word[:-1]
-        inside = offsets[:-1][offsets[:-1] < len(data)]
-        begins[inside] = word[inside]
-        ends = word.copy()
-        ends[:-1] &= ~word[1:]
-        last = offsets[1:][offsets[1:] > 0] - 1
-        ends[last] = word[last]
-        self.starts = np.flatnonzero(begins)
-        self.ends = np.flatnonzero(ends) + 1
+        kinds = classes[data]
+        edge = np.ones(len(data) + 1, dtype=bool)
+        edge[1:-1] = kinds[1:] != kinds[:-1]
+        edge[offsets] = True
+        inside = kinds != 0
+        self.starts = np.flatnonzero(edge[:-1] & inside)
+        self.ends = np.flatnonzero(edge[1:] & inside) + 1
+        self.kinds = kinds[self.starts]
         self.bounds = np.searchsorted(self.starts, offsets)
 
     def text_of_word(self) -> np.ndarray:
@@ -84,7 +91,9 @@ class Slice:
         return mix(np.add.reduceat(terms, before) + lengths.astype(np.uint64))
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
+def slices(
+    texts: pa.Array, limit: int = SLICE_BYTES, classes: np.ndarray = WORD_CLASSES
+) -> Iterator[Slice]:
     """Slices of a string array of at most `limit` bytes, or of one text; null is empty."""
     texts = texts.fill_null("").cast(pa.large_utf8())
     if not len(texts):
@@ -96,7 +105,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         own = offsets[at : to + 1]
-        yield Slice(at, data[own[0] : own[-1]], own - own[0])
+        yield Slice(at, data[own[0] : own[-1]], own - own[0], classes)
         at = to
 
 
