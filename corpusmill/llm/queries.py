@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, multiset_hash, quality, toxicity, url_filter
+from corpusmill.llm import bpe, multiset_hash, neighbours, quality, toxicity, url_filter
 from corpusmill.runtime import materialize
 from corpusmill.sources.tables import load_table
 
@@ -34,6 +34,13 @@ def op2_url_filter(spark, folder):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@_register
+def op3_neighbours(spark, folder):
+    vectors = load_table(spark, folder, "embeddings").select("vec_id", "embedding")
+    queries = vectors.filter(F.pmod("vec_id", F.lit(50)) == 0)
+    return neighbours.nearest(neighbours.build_index(vectors), queries, k=5)
+
+
 @_register
 def op4_multiset_hash(spark, folder):
     return multiset_hash.fingerprint_edits(load_table(spark, folder, "documents"))
