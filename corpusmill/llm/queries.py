@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, multiset_hash, neighbours, quality, toxicity, url_filter
+from corpusmill.llm import bpe, multiset_hash, neighbours, pseudonyms, quality, toxicity, url_filter
 from corpusmill.runtime import materialize
 from corpusmill.sources.tables import load_table
 
@@ -27,6 +27,16 @@ def _register(query):
     return query
 
 
+#: Stands for the key that a deployment keeps secret.
+PSEUDONYM_KEY = "corpus-pseudonyms-1"
+
+
+@_register
+def op1_pseudonyms(spark, folder):
+    documents = load_table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(documents, PSEUDONYM_KEY)
+
+
 @_register
 def op2_url_filter(spark, folder):
     pages = load_table(spark, folder, "pages").select("page_id", "url")
