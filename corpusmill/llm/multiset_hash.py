@@ -33,21 +33,22 @@ def vector(text: Column) -> Column:
     seeds = F.sequence(F.lit(0), F.lit(LANES // 8 - 1))
     words = F.transform(digests, lambda d: F.transform(seeds, lambda s: F.xxhash64(d, s)))
     # Eight lanes of 8 bits from each 64-bit word, less their middle.
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(LANES - 1)),
-        lambda i: F.pmod(
-            F.aggregate(
-                words,
-                F.lit(0).cast("bigint"),
-                lambda total, word: total
-                + F.call_function(
-                    "shiftright", F.get(word, (i / 8).cast("int")), (i % 8 * 8).cast("int")
-                ).bitwiseAND(F.lit(255))
-                - 128,
+    part = lambda word, i: F.call_function(
+        "shiftright", F.get(word, (i / 8).cast("int")), (i % 8 * 8).cast("int")
+    ).bitwiseAND(F.lit(255))
+    lanes = F.sequence(F.lit(0), F.lit(LANES - 1))
+    zero = F.lit(0).cast("bigint")
+    # An array of one element, so that the words are hashed once and not for each lane.
+    sums = F.transform(
+        F.array(words),
+        lambda known: F.transform(
+            lanes,
+            lambda i: F.pmod(
+                F.aggregate(known, zero, lambda total, word: total + part(word, i) - 128), F.lit(MODULUS)
             ),
-            F.lit(MODULUS),
         ),
     )
+    return F.get(sums, F.lit(0))
 
 
 def add(a: Column, b: Column) -> Column:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, multiset_hash, neighbours, packing, pseudonyms, quality, toxicity, url_filter
+from corpusmill.llm import bpe, multiset_hash, neighbours, packing, pseudonyms, quality, signature_tree, toxicity, url_filter
 from corpusmill.runtime import materialize
 from corpusmill.sources.tables import load_table
 
@@ -93,6 +93,11 @@ def op8_quality(spark, folder):
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@_register
+def op9_signature_tree(spark, folder):
+    return signature_tree.jaccard_groups(load_table(spark, folder, "documents"))
+
+
 @_register
 def op10_packing(spark, folder):
     return packing.pack_texts(load_table(spark, folder, "documents"))
