@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,8 @@ SETTINGS = {
 }
 
 _own_scratch: dict[str, str] = {}
+#: Folder of each table that `materialize` wrote, by the frame that reads it.
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def session(app: str = "corpusmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -63,4 +67,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _written[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `materialize` wrote, once nothing reads them any more.
+
+    The shuffle files of finished steps go with them: Spark removes these when the
+    driver's objects are collected, which a driver with idle memory puts off.
+    """
+    for table in tables:
+        path = _written.pop(table, None)
+        if path:
+            jvm = table.sparkSession._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+    gc.collect()
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
