@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, multiset_hash, neighbours, packing, pseudonyms, quality, signature_tree, toxicity, url_filter
+from corpusmill.llm import bpe, multiset_hash, neighbours, packing, pseudonyms, quality, recompression, signature_tree, toxicity, url_filter
 from corpusmill.runtime import materialize
 from corpusmill.sources.tables import load_table
 
@@ -67,6 +67,14 @@ def op5_bpe(spark, folder):
     return bpe.token_digests(documents, bpe.broadcast_vocabulary(spark, tokenizer_path()))
 
 
+@_register
+def op6_recompression(spark, folder):
+    documents = load_table(spark, folder, "documents")
+    left = recompression.remove_repeats(documents, joined=True)
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    return left.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
 def toxicity_model(spark, folder, documents: DataFrame):
     """Fitted on the labelled rows among `documents`, a bounded sample of them."""
     labels = load_table(spark, folder, "labels").select("doc_id", "toxic")
