@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Stands for the key that a deployment keeps secret and passes in.
+EXAMPLE_KEY = "corpus-pseudonyms-1"
 ROUNDS = 8
 _FIRST_DAY = "1800-01-01"
 _DAYS = (189, 773)  # days of 400 years: a full cycle of the calendar

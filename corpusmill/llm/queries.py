@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import bpe, multiset_hash, neighbours, packing, pseudonyms, quality, recompression, signature_tree, toxicity, url_filter
-from corpusmill.runtime import materialize
 from corpusmill.sources.tables import load_table
 
 URL_RULES = (
@@ -27,14 +27,10 @@ def _register(query):
     return query
 
 
-#: Stands for the key that a deployment keeps secret.
-PSEUDONYM_KEY = "corpus-pseudonyms-1"
-
-
 @_register
 def op1_pseudonyms(spark, folder):
     documents = load_table(spark, folder, "documents").select("doc_id", "text")
-    return pseudonyms.pseudonymise(documents, PSEUDONYM_KEY)
+    return pseudonyms.pseudonymise(documents, pseudonyms.EXAMPLE_KEY)
 
 
 @_register
@@ -69,23 +65,17 @@ def op5_bpe(spark, folder):
 
 @_register
 def op6_recompression(spark, folder):
-    documents = load_table(spark, folder, "documents")
+    documents = load_table(spark, folder, "documents").select("doc_id", "text")
     left = recompression.remove_repeats(documents, joined=True)
     digest = F.sha2(F.col("text").cast("binary"), 256)
     return left.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
 
 
-def toxicity_model(spark, folder, documents: DataFrame):
-    """Fitted on the labelled rows among `documents`, a bounded sample of them."""
-    labels = load_table(spark, folder, "labels").select("doc_id", "toxic")
-    graded = materialize(toxicity.severity_grades(labels, "toxic", documents), "grades")
-    return toxicity.fit(documents, graded)
-
-
 @_register
 def op7_toxicity(spark, folder):
     documents = load_table(spark, folder, "documents")
-    return toxicity.score(documents, toxicity_model(spark, folder, documents))
+    labels = load_table(spark, folder, "labels").select("doc_id", "toxic")
+    return toxicity.score(documents, toxicity.fit_flags(documents, labels))
 
 
 def held_out(key) -> Column:
@@ -111,6 +101,11 @@ def op10_packing(spark, folder):
     return packing.pack_texts(load_table(spark, folder, "documents"))
 
 
+@_register
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
+
+
 _ORACLES = {
     "op2_url_filter": r"""
         WITH parts AS (

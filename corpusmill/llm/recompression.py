@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.llm import words
 from corpusmill.runtime import discard, materialize
@@ -144,12 +145,14 @@ def anchors(part: words.Slice, window: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _identified(table: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, tid, text): rows of one key with unlike texts differ in `tid`."""
+    """`table` with `__key` and `__tid`: rows of one key with unlike texts differ in `__tid`."""
     content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    return table.select(
-        F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(_LAST)).alias("key"),
-        F.xxhash64(content).alias("tid"),
-        content.alias("text"),
+    return table.withColumns(
+        {
+            "__key": F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(_LAST)),
+            "__tid": F.xxhash64(content),
+            text: content,
+        }
     )
 
 
@@ -280,26 +283,32 @@ def _cut(raw: bytes, gone: np.ndarray, joined: bool) -> bytes:
 def remove_repeats(
     table: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, joined: bool = False
 ) -> DataFrame:
-    """(key, n_words, n_removed, text) for each row of `table`; `text` is what is left.
+    """`table` with what is left in `text`, and with `n_words` and `n_removed`.
 
     A word goes if a window of `window` words that covers it also starts in a row
     with a smaller key. Windows are judged on the input. White space between kept
     words stays as it is; with `joined` the kept words are joined by one space.
+    Columns `n_words` and `n_removed` of the table are replaced.
 
     A null text has no words and becomes an empty one. Rows without a key count
     as the last and lose nothing to one another; nor do rows of one key. Texts
     shorter than a window lose nothing. Very long texts and long runs of a word
     are treated as any other. An empty table gives an empty result.
     """
-    texts = _identified(table, key, text)
-    found = repeated_windows(texts, window)
-    rows = texts.join(found, ["key", "tid"], "left").select("key", "text", "whole", "starts")
+    table = table.drop("n_words", "n_removed")
+    rows = _identified(table, key, text)
+    found = repeated_windows(rows.select(F.col("__key").alias("key"), F.col("__tid").alias("tid"), F.col(f"`{text}`").alias("text")), window)
+    found = found.select(*[F.col(c).alias(f"__{c}") for c in found.columns])
+    rows = rows.join(found, ["__key", "__tid"], "left")
+    rows = rows.select(*[f"`{c}`" for c in table.columns], "__whole", "__starts")
+    names = table.columns
+    at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, removed, left = [], [], []
-            columns = (batch[c].to_pylist() for c in ("whole", "starts"))
-            for content, whole, starts in zip(batch["text"].cast(pa.binary()).to_pylist(), *columns, strict=True):
+            columns = (batch[c].to_pylist() for c in ("__whole", "__starts"))
+            for content, whole, starts in zip(batch[text].cast(pa.binary()).to_pylist(), *columns, strict=True):
                 n = len(content.split())
                 total.append(n)
                 if whole is None:
@@ -313,16 +322,13 @@ def remove_repeats(
                 gone = np.cumsum(marks)[:n] > 0 if not whole else np.ones(n, bool)
                 removed.append(int(gone.sum()))
                 left.append(_cut(content, gone, joined))
+            kept = [batch.column(i) for i in range(len(names))]
+            kept[at] = pa.array(left, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch["key"],
-                    pa.array(total, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array(left, pa.binary()).cast(pa.string()),
-                ],
-                ["key", "n_words", "n_removed", "text"],
+                [*kept, pa.array(total, pa.int64()), pa.array(removed, pa.int64())],
+                [*names, "n_words", "n_removed"],
             )
 
-    made = rows.mapInArrow(run, "key bigint, n_words bigint, n_removed bigint, text string")
-    own = F.when(F.col("key") != _LAST, F.col("key"))
-    return made.select(own.alias(key), "n_words", "n_removed", F.col("text").alias(text))
+    fields = [T.StructField(f.name, T.StringType() if f.name == text else f.dataType) for f in table.schema]
+    fields += [T.StructField(name, T.LongType()) for name in ("n_words", "n_removed")]
+    return rows.mapInArrow(run, T.StructType(fields))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm import fitting, words
+from corpusmill.runtime import materialize
 
 BITS = 18
 GRADES = 3
@@ -160,6 +161,32 @@ def fit(
     return model
 
 
+def fit_flags(
+    table: DataFrame, labels: DataFrame, flag: str = "toxic", key: str = "doc_id", text: str = "text",
+    rows: int = fitting.SAMPLE_ROWS,
+) -> np.ndarray:
+    """A model from a flag instead of grades, on about `rows` labelled rows at most."""
+    graded = materialize(severity_grades(labels, flag, table, key, text, rows), "grades")
+    return fit(table, graded, "grade", key, text, rows)
+
+
+def _severity(texts: pa.Array, model: np.ndarray) -> np.ndarray:
+    """P(grade > k) for each text and k."""
+    weights, limits = model[:-GRADES], model[-GRADES:]
+    sums = [np.zeros(0)]
+    for part in words.slices(texts, classes=words.TOKEN_CLASSES):
+        owner = part.text_of_word()
+        found = []
+        for place in _marks(part):
+            hit = weights[place] != 0
+            found.append(owner[hit] << BITS | place[hit])
+        distinct = np.unique(np.concatenate(found))  # each feature counts once a text
+        own = weights[distinct & ((1 << BITS) - 1)]
+        sums.append(np.bincount(distinct >> BITS, own, minlength=part.n_texts))
+    total = np.concatenate(sums)
+    return 1 / (1 + np.exp(np.clip(limits - total[:, None], -35, 35)))
+
+
 def score(
     table: DataFrame, model: np.ndarray, key: str = "doc_id", text: str = "text", reject_at: float = REJECT_AT
 ) -> DataFrame:
@@ -168,36 +195,37 @@ def score(
     `severity` is the expected grade, `grade` the likeliest one by the thresholds
     (the number of k with P(grade > k) of a half or more), `toxic` tells that
     P(grade > 0) reaches `reject_at`. A null or empty text has no features.
-    Repeated rows score alike; other columns are left out.
+    Repeated rows score alike; other columns are left out; an empty table gives
+    an empty result.
     """
     shared = table.sparkSession.sparkContext.broadcast(model)
     kept = table.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
 
     def run(batches):
-        weights, limits = shared.value[:-GRADES], shared.value[-GRADES:]
         for batch in batches:
-            sums = [np.zeros(0)]
-            for part in words.slices(batch["text"], classes=words.TOKEN_CLASSES):
-                owner = part.text_of_word()
-                found = []
-                for place in _marks(part):
-                    hit = weights[place] != 0
-                    found.append(owner[hit] << BITS | place[hit])
-                distinct = np.unique(np.concatenate(found))  # each feature counts once a text
-                own = weights[distinct & ((1 << BITS) - 1)]
-                sums.append(np.bincount(distinct >> BITS, own, minlength=part.n_texts))
-            total = np.concatenate(sums)
-            above = 1 / (1 + np.exp(np.clip(limits - total[:, None], -35, 35)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["key"],
-                    pa.array(above.sum(axis=1)),
-                    pa.array((above >= 0.5).sum(axis=1).astype(np.int32)),
-                    pa.array(above[:, 0] >= reject_at),
-                ],
-                ["key", "severity", "grade", "toxic"],
-            )
+            above = _severity(batch["text"], shared.value)
+            columns = [
+                batch["key"],
+                pa.array(above.sum(axis=1)),
+                pa.array((above >= 0.5).sum(axis=1).astype(np.int32)),
+                pa.array(above[:, 0] >= reject_at),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "severity", "grade", "toxic"])
 
     kind = kept.schema["key"].dataType.simpleString()
     made = kept.mapInArrow(run, f"key {kind}, severity double, grade int, toxic boolean")
     return made.withColumnRenamed("key", key)
+
+
+def keep_clean(
+    table: DataFrame, model: np.ndarray, text: str = "text", reject_at: float = REJECT_AT
+) -> DataFrame:
+    """The rows of `table` that `score` does not call toxic, with all their columns, in one pass."""
+    shared = table.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            above = _severity(batch[text].cast(pa.string()), shared.value)
+            yield batch.filter(pa.array(above[:, 0] < reject_at))
+
+    return table.mapInArrow(run, table.schema)
