@@ -85,5 +85,4 @@ def discard(*tables: DataFrame) -> None:
             place = jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
     gc.collect()
-    if tables:
-        tables[0].sparkSession._jvm.System.gc()
+    SparkSession.active()._jvm.System.gc()
