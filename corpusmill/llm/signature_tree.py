@@ -3,11 +3,14 @@
 The set of a text is its distinct word n-grams (as 64-bit values). Texts with
 equal sets form a class, and classes are joined:
 
-1. Candidates. In any fixed order of the n-grams, two sets with a Jaccard
-   similarity of t or more share one of the first |x| - ceil(t |x|) + 1 n-grams
-   of each. The order is by value, with n-grams that are frequent in a bounded
-   sample put last; it steers the work, never the result. The classes that share
-   such an n-gram meet in a signature tree: leaves hold rows of like size, nodes
+1. Candidates. Large sets are cut into parts by ranges of n-gram values; if two
+   sets have a Jaccard similarity of t or more, then so have the parts of one
+   range at least, and parts stay small enough for a bitmap of fixed size. In any
+   fixed order of the n-grams, two such parts share one of the first
+   |x| - ceil(t |x|) + 1 n-grams of each. The order is by value, with n-grams that
+   are frequent in a bounded sample put last; it steers the work, never the
+   result. The parts that share such an n-gram meet in a signature tree: leaves
+   hold rows of like size, nodes
    the OR of their token bitmaps and the ranges of sizes and of bit counts. A
    dual traversal drops node pairs, and then row pairs, whose greatest possible
    overlap is too small. What is left is kept as a spanning forest, so the links
@@ -33,11 +36,12 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import words
 from corpusmill.operators.components import components
-from corpusmill.runtime import materialize
+from corpusmill.runtime import discard, materialize
 
 WORDS_A_SHINGLE = 5
 PERCENT = 80
 BITMAP_WORDS = 16  # of 64 bits
+PART_TOKENS = 512
 SAMPLE_ROWS = 2000
 MAX_FREQUENT = 1 << 16
 HOT_ROWS = 4096
@@ -90,36 +94,65 @@ def _bitmap(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits)
 
 
+def _cuts(n: int, percent: int) -> set[int]:
+    """In how many ranges (as a power of two) a set of `n` n-grams is cut.
+
+    Two sets meet where the smaller one is cut as it needs. The larger one is at
+    most 100 / percent times as large, so it is cut for its own size and for the
+    least size that it can meet.
+    """
+    return {max(0, (-(-size // PART_TOKENS) - 1).bit_length()) for size in (n, -(-percent * n // 100))}
+
+
+def parts_of(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(size, bitmap, first n-grams) of each part of a sorted set that is not empty."""
+    late = _is_in(tokens, frequent)
+    for cut in _cuts(len(tokens), percent):
+        limits = np.arange(1, 1 << cut, dtype=np.uint64) << np.uint64(64 - cut) if cut else np.zeros(0, np.uint64)
+        bounds = [0, *np.searchsorted(tokens, limits).tolist(), len(tokens)]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if a < b:
+                own, last = tokens[a:b], late[a:b]
+                first = np.concatenate([own[~last], own[last]])[: b - a - -(-percent * (b - a) // 100) + 1]
+                # An n-gram of one cut is another one than that of the next.
+                named = words.mix(first + np.uint64(cut)) if cut else first
+                yield b - a, _bitmap(own).tobytes(), named.tobytes()
+
+
 def sketches(table: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(key, n, h1, h2, prefix, bitmap) of every row; an empty set has n = 0."""
+    """(key, n, h1, h2, parts) of every row; an empty set has n = 0 and no parts."""
     texts = _texts(table, key, text)
     frequent = table.sparkSession.sparkContext.broadcast(_frequent(texts, n))
 
     def run(batches):
         for batch in batches:
-            sizes, digests, prefixes, bitmaps = [], [], [], []
+            sizes, digests, parts, counts = [], [], [], []
             for part in words.slices(batch["text"]):
                 for tokens in words.shingle_sets(part, n, True):
-                    size = len(tokens)
-                    late = _is_in(tokens, frequent.value)
-                    first = size - -(-percent * size // 100) + 1
-                    sizes.append(size)
+                    own = list(parts_of(tokens, frequent.value, percent))
+                    sizes.append(len(tokens))
                     digests.append(_digest(tokens))
-                    prefixes.append(np.concatenate([tokens[~late], tokens[late]])[:first].tobytes())
-                    bitmaps.append(_bitmap(tokens).tobytes())
+                    parts += own
+                    counts.append(len(own))
+            columns = [
+                pa.array([p[0] for p in parts], pa.int32()),
+                pa.array([p[1] for p in parts], pa.binary()),
+                pa.array([p[2] for p in parts], pa.binary()),
+            ]
+            offsets = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
+            nested = pa.StructArray.from_arrays(columns, ["n", "bitmap", "prefix"])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["key"],
                     pa.array(sizes, pa.int32()),
                     pa.array([a for a, _ in digests], pa.int64()),
                     pa.array([b for _, b in digests], pa.int64()),
-                    pa.array(prefixes, pa.binary()),
-                    pa.array(bitmaps, pa.binary()),
+                    pa.ListArray.from_arrays(offsets, nested),
                 ],
-                ["key", "n", "h1", "h2", "prefix", "bitmap"],
+                ["key", "n", "h1", "h2", "parts"],
             )
 
-    kinds = "key bigint, n int, h1 bigint, h2 bigint, prefix binary, bitmap binary"
+    kinds = "key bigint, n int, h1 bigint, h2 bigint, parts array<struct<n int, bitmap binary, prefix binary>>"
     return texts.mapInArrow(run, kinds)
 
 
@@ -279,10 +312,10 @@ def _tree_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
 
-def candidate_links(classes: DataFrame, percent: int) -> DataFrame:
+def candidate_links(parts: DataFrame, percent: int) -> DataFrame:
     """(a, b) links whose components hold all pairs of classes that may be similar.
 
-    `classes` has (cid, n, prefix, bitmap) and is a written table.
+    `parts` has (pid, cid, n, bitmap, prefix) and is a written table.
     """
 
     def spread(batches):
@@ -290,19 +323,25 @@ def candidate_links(classes: DataFrame, percent: int) -> DataFrame:
             prefixes = batch["prefix"].to_pylist()
             counts = [len(p) // 8 for p in prefixes]
             tokens = np.frombuffer(b"".join(prefixes), np.int64)
-            ids = np.repeat(batch["cid"].to_numpy(), counts)
-            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(ids)], ["token", "cid"])
+            ids = np.repeat(batch["pid"].to_numpy(), counts)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(ids)], ["token", "pid"])
 
-    rows = classes.select("cid", "prefix").mapInArrow(spread, "token bigint, cid bigint")
-    shared = rows.groupBy("token").agg(F.count("*").alias("rows"), F.min("cid").alias("first"))
+    rows = parts.select("pid", "prefix").mapInArrow(spread, "token bigint, pid bigint")
+    shared = rows.groupBy("token").agg(F.count("*").alias("rows"), F.min("pid").alias("first"))
     shared = shared.filter("rows > 1")
     rows = materialize(rows.join(shared, "token"), "prefixes")
-    hot = rows.filter((F.col("rows") > HOT_ROWS) & (F.col("cid") != F.col("first")))
-    ordinary = rows.filter(F.col("rows") <= HOT_ROWS).select("token", "cid")
-    ordinary = ordinary.join(classes.select("cid", "n", "bitmap"), "cid")
+    discard()
+    owners = parts.select("pid", "cid")
+    hot = rows.filter((F.col("rows") > HOT_ROWS) & (F.col("pid") != F.col("first"))).select("first", "pid")
+    hot = hot.distinct().join(owners, "pid").withColumnRenamed("cid", "b").drop("pid")
+    hot = hot.join(owners.toDF("first", "a"), "first").select("a", "b")
+    ordinary = rows.filter(F.col("rows") <= HOT_ROWS).select("token", "pid")
+    ordinary = ordinary.join(parts.select("pid", "cid", "n", "bitmap"), "pid").drop("pid")
     ordinary = ordinary.repartition("token").sortWithinPartitions("token", "n", "cid")
     links = ordinary.mapInArrow(lambda batches: _tree_links(batches, percent), "a bigint, b bigint")
-    return links.unionByName(hot.select(F.col("first").alias("a"), F.col("cid").alias("b")))
+    links = materialize(links.unionByName(hot).filter("a <> b").distinct(), "candidates")
+    discard(rows)
+    return links
 
 
 def _overlaps(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
@@ -434,17 +473,21 @@ def jaccard_groups(
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must lie above 50")
-    known = materialize(sketches(table, key, text, n, percent), "sketches")
-    classes = known.filter("n > 0").groupBy("h1", "h2").agg(
-        F.min("key").alias("rep"),
-        F.count("*").alias("copies"),
-        F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"),
-        F.first("bitmap").alias("bitmap"),
+    sketched = materialize(sketches(table, key, text, n, percent), "sketches")
+    known = materialize(sketched.select("key", "n", "h1", "h2"), "digests")
+    classes = sketched.filter("n > 0").groupBy("h1", "h2").agg(
+        F.min("key").alias("rep"), F.count("*").alias("copies"), F.first("parts").alias("parts")
     )
     classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    clusters = components(candidate_links(classes, percent))
+    discard(sketched)
+    parts = classes.select("cid", F.explode("parts").alias("part")).select("cid", "part.*")
+    parts = materialize(parts.withColumn("pid", F.monotonically_increasing_id()), "parts")
+    classes = materialize(classes.drop("parts"), "class-ids")
+    candidates = candidate_links(parts, percent)
+    discard(parts)
+    clusters = components(candidates)
     links = materialize(true_links(table, classes, clusters, key, text, n, percent), "links")
+    discard(candidates)
     roots = components(links.filter("b is not null"))
     numbers = links.filter("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("n_links").alias("others"))
     labelled = classes.select("cid", "rep", "copies", "h1", "h2").join(
