@@ -1,6 +1,6 @@
 """Fitting linear models of hashed text features on a bounded sample of labelled rows.
 
-The sample's texts become sparse rows where they are read. `SHARDS` tasks each
+The sample's texts become sparse rows where they are read. Up to `SHARDS` tasks each
 fit a model on their share, and the models are averaged (parameter mixing), so
 no text and no feature row passes through the driver; it gets one weight vector
 of fixed size per shard.
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SHARDS = 4
+ROWS_A_SHARD = 1000  # at least, so that few rows are not spread thin
 #: About so many labelled rows are used, chosen by a hash of the key.
 SAMPLE_ROWS = 16_384
 
@@ -36,9 +37,10 @@ def sparse_rows(
     table: DataFrame, labelled: DataFrame, features: Features, key: str, text: str
 ) -> DataFrame:
     """(shard, target, places, values) of the labelled texts; `labelled` is a bounded sample."""
+    shards = max(1, min(SHARDS, labelled.count() // ROWS_A_SHARD))
     texts = table.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").cast("string").alias("__text"))
     texts = texts.join(F.broadcast(labelled), "__key").select(
-        F.pmod(F.xxhash64("__key", F.lit(1)), F.lit(SHARDS)).cast("int").alias("shard"),
+        F.pmod(F.xxhash64("__key", F.lit(1)), F.lit(shards)).cast("int").alias("shard"),
         F.col("__target").cast("int").alias("target"),
         "__text",
     )

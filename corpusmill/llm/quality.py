@@ -20,6 +20,7 @@ from corpusmill.llm import fitting, words
 
 BITS = 18
 EPOCHS = 4
+STEPS = 4000  # at least; few rows are gone through more often
 THRESHOLD = 0.3
 _BIAS = 1 << BITS
 
@@ -68,7 +69,7 @@ def learn(
         shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - l1, 0)
         return -shrunk / ((beta + np.sqrt(n[at])) / alpha + l2)
 
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS // max(1, len(targets))))):
         for target, at, x in zip(targets, places, values, strict=True):
             w = weights(at)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))

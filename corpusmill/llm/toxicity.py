@@ -61,7 +61,7 @@ def _screened(flags: np.ndarray, places: list[np.ndarray], least: float) -> list
 
 def learn(
     targets: np.ndarray, places: list[np.ndarray], values: list[np.ndarray],
-    rate: float = 0.3, l2: float = 1e-4, screen: float = 40.0,
+    rate: float = 0.3, l2: float = 1e-4, screen: float = 25.0,
 ) -> np.ndarray:
     """Adaptive gradient steps over all rows; returns the weights and the thresholds.
 
@@ -106,7 +106,7 @@ def severity_grades(labels: DataFrame, flag: str, table: DataFrame, key: str = "
     """Grades of labelled rows where only a flag is known: (key, grade).
 
     0: not flagged. Flagged texts are graded 1 to GRADES by thirds of the number of
-    their different telling features: those that at least ten flagged texts of the
+    their different telling features: those that at least five flagged texts of the
     sample hold, and no more clean texts than one in fifty of these.
     """
     labelled = fitting.sample(labels, key, flag, rows)
@@ -126,7 +126,7 @@ def severity_grades(labels: DataFrame, flag: str, table: DataFrame, key: str = "
 
     counts = texts.mapInArrow(count, "place bigint, flagged bigint, clean bigint")
     counts = counts.groupBy("place").agg(F.sum("flagged").alias("f"), F.sum("clean").alias("c"))
-    telling = counts.filter("f >= 10 AND c * 50 <= f").select("place").toPandas()["place"].to_numpy(np.int64)
+    telling = counts.filter("f >= 5 AND c * 50 <= f").select("place").toPandas()["place"].to_numpy(np.int64)
     known = table.sparkSession.sparkContext.broadcast(np.isin(np.arange(size), telling))
 
     def number(batches):
