@@ -9,17 +9,37 @@ from pyspark.sql import functions as F
 
 from corpusmill import fixed_values as fv
 from corpusmill.functions.text import code_blocks, first_code
+from corpusmill.runtime import materialize
 
 
 def code_sha(code: Column) -> Column:
     return F.sha2(code, 256)
 
 
+def _checked(output: Column) -> Column:
+    """The code of an answer: its blocks, or all of an assertion answer without any."""
+    blocks = code_blocks(output)
+    whole = (F.size(blocks) == 0) & (F.col("task_type") == fv.TASK_ASSERT)
+    return F.when(whole, F.array(output)).otherwise(blocks)
+
+
+def one_verdict(lint_results: DataFrame) -> DataFrame:
+    """One row per hash: of several outcomes unknown wins, then failed.
+
+    It is written, as Spark splits a hot hash only in a join of plain inputs.
+    """
+    outcomes = lint_results.groupBy("code_sha").agg(
+        F.bool_or(F.col("ok").isNull()).alias("unknown"), F.bool_and("ok").alias("all_ok")
+    )
+    single = outcomes.select("code_sha", F.when(~F.col("unknown"), F.col("all_ok")).alias("ok"))
+    return materialize(single, "verdicts")
+
+
 def blocks_to_check(pairs: DataFrame, verify_tasks: Sequence[str] = fv.VERIFY_TASKS) -> DataFrame:
     """Each distinct code block once, for the checker to run on."""
     return (
         pairs.filter(F.col("task_type").isin(*verify_tasks))
-        .select(F.explode(code_blocks(F.col("output"))).alias("code"))
+        .select(F.explode(_checked(F.col("output"))).alias("code"))
         .select(code_sha(F.col("code")).alias("code_sha"), "code")
         .distinct()
     )
@@ -35,15 +55,15 @@ def lint_status(
 
     A block without a result counts as unknown. One unknown block makes the pair
     unavailable, else one failing block makes it fail, else it passes. Only
-    (key, hash) rows meet the results; `lint_results` has one row per hash, so
-    a hash that many pairs share is one that adaptive execution can split.
+    (key, hash) rows meet the results, which have one row per hash, so a hash
+    that many pairs share is one that adaptive execution can split.
     """
     blocks = pairs.filter(F.col("task_type").isin(*verify_tasks)).select(
-        key, F.explode(code_blocks(F.col("output"))).alias("code")
+        key, F.explode(_checked(F.col("output"))).alias("code")
     )
     verdicts = (
         blocks.select(key, code_sha(F.col("code")).alias("code_sha"))
-        .join(lint_results, "code_sha", "left")
+        .join(one_verdict(lint_results), "code_sha", "left")
         .groupBy(key)
         .agg(F.bool_or(F.col("ok").isNull()).alias("unknown"), F.bool_and("ok").alias("all_ok"))
         .select(
@@ -78,7 +98,7 @@ def with_first_code_ok(rows: DataFrame, text: str, lint_results: DataFrame) -> D
     return (
         rows.withColumn("code", first_code(F.col(text)))
         .withColumn("code_sha", code_sha(F.col("code")))
-        .join(lint_results.select("code_sha", "ok"), "code_sha", "left")
+        .join(one_verdict(lint_results), "code_sha", "left")
         .withColumn("ok", F.coalesce("ok", F.lit(False)))
         .drop("code_sha")
     )

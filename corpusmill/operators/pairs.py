@@ -44,9 +44,9 @@ def bug_pairs(chunks: DataFrame, key: Column, seed: int = fv.SEED) -> DataFrame:
     eligible = chunks.filter(F.col("type") == fv.TYPE_MODULE).filter(
         F.length(text).between(fv.BUG_MIN_CHARS, fv.BUG_MAX_CHARS)
     )
-    chosen = eligible.select(
-        "content", "source_path", choose_edit(text, key, seed).alias("transform_applied")
-    ).filter(F.col("transform_applied").isNotNull())
+    # A null stays away through the generator, which no filter is pushed below.
+    drawn = F.array_compact(F.array(choose_edit(text, key, seed)))
+    chosen = eligible.select("content", "source_path", F.explode(drawn).alias("transform_applied"))
     edit = F.col("transform_applied")
     return chosen.select(
         F.lit(fv.TASK_BUG).alias("task_type"),
@@ -71,40 +71,44 @@ def pairs_union(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def gen_eligible(chunks: DataFrame) -> DataFrame:
+    """Modules between 100 and 2000 characters, which a model can explain."""
+    size = F.length("content")
+    modules = chunks.filter(F.col("type") == fv.TYPE_MODULE)
+    return modules.filter((size > fv.GEN_MIN_CHARS) & (size < fv.GEN_MAX_CHARS))
+
+
 def gen_candidates(
     chunks: DataFrame, key: Column, n: int = fv.GEN_DEFAULT_ROWS, seed: int = fv.SEED
 ) -> DataFrame:
-    """`n` modules between 100 and 2000 characters in a seeded hash order.
+    """`n` eligible modules in a seeded hash order.
 
     Spark keeps a top-n per task and merges those, so this never sorts the table.
     """
-    size = F.length("content")
     draw = F.md5(F.concat_ws("|", F.lit(str(seed)), key))
-    return (
-        chunks.filter(F.col("type") == fv.TYPE_MODULE)
-        .filter((size > fv.GEN_MIN_CHARS) & (size < fv.GEN_MAX_CHARS))
-        .withColumn("draw", draw)
-        .orderBy("draw", key)
-        .limit(n)
-        .drop("draw")
-    )
+    return gen_eligible(chunks).withColumn("draw", draw).orderBy("draw", key).limit(n).drop("draw")
 
 
-def gen_prompts(candidates: DataFrame) -> DataFrame:
-    """Add the prompt to send and `prompt_key`, which a completion refers to."""
+def gen_prompts(modules: DataFrame, key: Column) -> DataFrame:
+    """Add the prompt to send and `prompt_key`, which a completion refers to.
+
+    `key` names a module: equal modules of one file have prompts of their own.
+    """
     prompt = F.concat(
         F.lit(fv.EXPLAIN_PROMPT_HEAD), F.col("content"), F.lit(fv.EXPLAIN_PROMPT_TAIL)
     )
-    return candidates.withColumn("prompt", prompt).withColumn(
-        "prompt_key", content_sha(F.coalesce("source_path", F.lit("")), prompt)
-    )
+    return modules.withColumn("prompt", prompt).withColumn("prompt_key", content_sha(key, prompt))
 
 
 def gen_ingest(
     prompts: DataFrame, completions: DataFrame, source: str = fv.SOURCE_GENERATED
 ) -> DataFrame:
-    """Explanation pairs for prompts with a completion; a failed call has none."""
-    return prompts.join(completions, "prompt_key").select(
+    """Explanation pairs for prompts with a completion; a failed call has none.
+
+    Of several completions of one prompt the least text counts.
+    """
+    single = completions.groupBy("prompt_key").agg(F.min("completion").alias("completion"))
+    return prompts.join(single, "prompt_key").select(
         F.lit(fv.TASK_EXPLAIN).alias("task_type"),
         F.lit(fv.EXPLAIN_INSTRUCTION).alias("instruction"),
         F.col("content").alias("input"),

@@ -25,8 +25,8 @@ _MODULE = (
 _MODULE_NAME = rf"module{WS}+({WORD}+)"
 # (?d): only a line feed ends a line.
 _HEADING = rf"(?md)^(#{{1,4}}{WS}.+)$"
-# Noncharacters, which no valid text exchanges, mark where a heading starts and ends.
-_OPEN, _CLOSE = "\ufdd1", "\ufdd2"
+# Behind the last closing word no module can end; searching on would be quadratic.
+_TO_LAST_END = rf"(?s)\A.*endmodule(?<!{WORD}endmodule)(?!{WORD})"
 
 
 def _is_code() -> Column:
@@ -34,14 +34,18 @@ def _is_code() -> Column:
 
 
 def _modules(text: Column) -> Column:
-    # Without the closing word every opening one would be searched to the end.
-    found = F.regexp_extract_all(text, F.lit(_MODULE), 0)
+    found = F.regexp_extract_all(F.regexp_extract(text, _TO_LAST_END, 0), F.lit(_MODULE), 0)
     return F.when(text.contains("endmodule"), found).otherwise(F.array().cast("array<string>"))
 
 
-def _sections(text: Column) -> Column:
-    marked = F.regexp_replace(text, _HEADING, f"{_OPEN}$1{_CLOSE}")
-    return F.split(marked, _OPEN)
+def _pieces(text: Column) -> Column:
+    """Array of (heading, body): modules without heading, or what stands at and after headings."""
+    piece = lambda heading, body: F.struct(heading.alias("heading"), body.alias("body"))
+    none = F.lit(None).cast("string")
+    headings = F.concat(F.array(none), F.regexp_extract_all(text, F.lit(_HEADING), 1))
+    sections = F.zip_with(headings, F.split(text, _HEADING, -1), piece)
+    modules = F.transform(_modules(text), lambda module: piece(none, module))
+    return F.when(_is_code(), modules).otherwise(sections)
 
 
 def raw_records(files: DataFrame) -> DataFrame:
@@ -52,29 +56,19 @@ def raw_records(files: DataFrame) -> DataFrame:
     heading. (ext_rank, source_path, pos) is the total order of the records.
     """
     text = F.col("content")
-    pieces = files.select(
-        "ext_rank",
-        "ext",
-        F.col("path").alias("source_path"),
-        F.when(_is_code(), _modules(text)).otherwise(_sections(text)).alias("pieces"),
-        # Only a file without modules is carried along whole.
-        F.when(_is_code() & (F.size(_modules(text)) == 0), strip(text)).alias("whole"),
-    )
-    rows = pieces.select(
+    found = files.select("ext_rank", "ext", F.col("path").alias("source_path"), "content", _pieces(text).alias("pieces"))
+    # Only a file without modules is carried along whole.
+    is_whole = _is_code() & (F.size("pieces") == 0)
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("heading"), strip(text).alias("body")))
+    rows = found.select(
         "ext_rank",
         "ext",
         "source_path",
-        F.col("whole").isNotNull().alias("is_whole"),
-        F.posexplode(
-            F.when(F.col("whole").isNotNull(), F.array("whole")).otherwise(F.col("pieces"))
-        ).alias("pos", "piece"),
-    )
-    piece = F.col("piece")
-    heading = F.when(F.col("pos") > 0, strip(F.split_part(piece, F.lit(_CLOSE), F.lit(1))))
-    body = strip(
-        F.when(F.col("pos") > 0, F.split_part(piece, F.lit(_CLOSE), F.lit(2))).otherwise(piece)
+        is_whole.alias("is_whole"),
+        F.posexplode(F.when(is_whole, whole).otherwise(F.col("pieces"))).alias("pos", "piece"),
     )
-    section = strip(F.concat_ws("\n\n", heading, body))
+    heading, body = strip(F.col("piece.heading")), F.col("piece.body")
+    section = strip(F.concat_ws("\n\n", heading, strip(body)))
     records = rows.select(
         "ext_rank",
         "source_path",
@@ -85,10 +79,10 @@ def raw_records(files: DataFrame) -> DataFrame:
         .alias("type"),
         F.when(
             _is_code() & ~F.col("is_whole"),
-            F.nullif(F.regexp_extract(piece, _MODULE_NAME, 1), F.lit("")),
+            F.nullif(F.regexp_extract(body, _MODULE_NAME, 1), F.lit("")),
         ).alias("module_name"),
         F.when(~_is_code(), heading).alias("title"),
-        F.when(_is_code(), piece).otherwise(section).alias("content"),
+        F.when(_is_code(), body).otherwise(section).alias("content"),
     )
     # An empty code file still gives its row; an empty section gives none.
     keep = (F.col("type") != TYPE_SECTION) | (F.col("content") != "")

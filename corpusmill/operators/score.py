@@ -34,12 +34,11 @@ def eval_rouge(rows: DataFrame) -> DataFrame:
 
 def eval_compiles(rows: DataFrame, lint_results: DataFrame) -> DataFrame:
     """Add `compiles` for the two task types that answer in code, else null."""
-    in_scope = F.col("task_type").isin(*fv.COMPILE_TASKS)
-    return (
-        with_first_code_ok(rows, "prediction", lint_results)
-        .withColumn("compiles", F.when(in_scope, F.col("ok")))
-        .drop("code", "ok")
-    )
+    in_scope = F.coalesce(F.col("task_type").isin(*fv.COMPILE_TASKS), F.lit(False))
+    # Only rows in scope are hashed and joined.
+    checked = with_first_code_ok(rows.filter(in_scope), "prediction", lint_results)
+    others = rows.filter(~in_scope).withColumn("compiles", F.lit(None).cast("boolean"))
+    return checked.withColumnRenamed("ok", "compiles").drop("code").unionByName(others)
 
 
 def eval_summary(results: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from corpusmill.operators.label import label_chunks, label_stats
 from corpusmill.operators.parse import raw_records
 from corpusmill.plans.corpus import RECORD_ORDER
 from corpusmill.plans.scoring import score_predictions
+from corpusmill.runtime import materialize
 from corpusmill.sources import corpus_text, files, jsonl, results, seeds
 
 SPLIT_PAIRS = schemas.StructType(schemas.PAIRS.fields).add("split_key", "string").add("split", "string")
@@ -58,7 +59,7 @@ def corpus(spark: SparkSession, source: str, out: str) -> DataFrame:
 def prompts(spark: SparkSession, source: str, out: str, n: int) -> DataFrame:
     """Prompts for an outside model; its answers come back as a completions table."""
     chunks = jsonl.read_records(spark, source, schemas.CHUNKS_LABELED)
-    jsonl.write_records(pairs.gen_prompts(pairs.gen_candidates(chunks, record_key(), n)), out)
+    jsonl.write_records(pairs.gen_prompts(pairs.gen_candidates(chunks, record_key(), n), record_key()), out)
     return jsonl.read_records(spark, out, PROMPTS).agg(F.count("*").alias("n_prompts"))
 
 
@@ -78,6 +79,7 @@ def make_pairs(
         pairs.bug_pairs(chunks, record_key()), seeds.seed_pairs(spark), generated
     ).withColumn("pair_id", pairs.pair_key())
     linted = lint.lint_status(made, _optional(spark, lint_results, schemas.LINT_RESULTS))
+    linted = materialize(linted, "linted")  # for the pairs and for the counts
     jsonl.write_records(lint.lint_filter(linted).select(schemas.PAIRS.fieldNames()), out)
     return lint.lint_stats(linted)
 
@@ -86,6 +88,7 @@ def blocks(spark: SparkSession, source: str, out: str) -> DataFrame:
     """Distinct code blocks for an outside linter; its verdicts come back as lint results."""
     table = lint.blocks_to_check(jsonl.read_records(spark, source, schemas.PAIRS))
     jsonl.write_records(table, out)
+    table = jsonl.read_records(spark, out, table.schema)
     return table.agg(F.count("*").alias("n_blocks"))
 
 

@@ -28,7 +28,7 @@ def _table(columns: str) -> StructType:
     return schema
 
 
-FILES = _table("path string, ext string, ext_rank int, content string")
+FILES = _table("path string, ext string, ext_rank int, n_bytes bigint, content string")
 RAW_RECORDS = _table(
     "ext_rank int, source_path string, pos int, type string, "
     "module_name string, title string, content string"

@@ -1,26 +1,45 @@
-"""Recursive scan of source and documentation files."""
+"""Recursive scan of source and documentation files.
+
+Folders are listed level by level and files are read in tasks, so no list of
+names passes through the driver, and hidden names, empty files and the path
+below the root come out as they are. A folder or file that cannot be read is a
+row with an error, which `skipped_files` shows.
+"""
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
+import os
+from collections.abc import Iterator
+from functools import reduce
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.fixed_values import CODE_EXTENSIONS, DOC_EXTENSIONS
+from corpusmill.runtime import materialize
 
 EXTENSIONS = CODE_EXTENSIONS + DOC_EXTENSIONS
 
-# A genuine U+FFFD is parked on a noncharacter while bad bytes become U+FFFD.
-_REPLACEMENT, _PARKED = "\ufffd", "\ufdd0"
+_LISTED = "path string, is_folder boolean, n_bytes bigint, error string"
+_READ = "path string, ext string, ext_rank int, n_bytes bigint, data binary, error string"
+
+_REPLACEMENT = "\ufffd"
+# Before bad bytes become U+FFFD and go, a genuine one is written as ESCAPE 1 and
+# a genuine ESCAPE as ESCAPE 0.
+_ESCAPE = "\ufdd0"
 
 
 def decode_ignoring_errors(content: Column) -> Column:
     """Bytes to text: bad UTF-8 dropped, line ends normalised to a line feed."""
-    text = F.replace(content.cast("string"), F.lit(_REPLACEMENT), F.lit(_PARKED))
-    text = F.replace(F.make_valid_utf8(text), F.lit(_REPLACEMENT), F.lit(""))
-    text = F.replace(text, F.lit(_PARKED), F.lit(_REPLACEMENT))
-    return F.regexp_replace(text, "\r\n?", "\n")
+    text = content.cast("string")
+    safe = F.replace(text, F.lit(_ESCAPE), F.lit(_ESCAPE + "0"))
+    safe = F.replace(safe, F.lit(_REPLACEMENT), F.lit(_ESCAPE + "1"))
+    safe = F.replace(F.make_valid_utf8(safe), F.lit(_REPLACEMENT), F.lit(""))
+    safe = F.replace(safe, F.lit(_ESCAPE + "1"), F.lit(_REPLACEMENT))
+    safe = F.replace(safe, F.lit(_ESCAPE + "0"), F.lit(_ESCAPE))
+    return F.regexp_replace(F.when(F.is_valid_utf8(text), text).otherwise(safe), "\r\n?", "\n")
 
 
 def with_extension(files: DataFrame) -> DataFrame:
@@ -30,42 +49,103 @@ def with_extension(files: DataFrame) -> DataFrame:
     return files.withColumn("ext", ext).withColumn("ext_rank", rank.cast("int"))
 
 
+def _store(root: str) -> tuple[fs.FileSystem, str]:
+    if "://" in root or root.startswith("file:"):
+        store, base = fs.FileSystem.from_uri(root)
+    else:
+        store, base = fs.FileSystem.from_uri(f"file://{fs_absolute(root)}")
+    return store, base.rstrip("/")
+
+
+def fs_absolute(root: str) -> str:
+    """A plain path of this machine as an absolute one."""
+    return os.path.abspath(root)
+
+
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, is_folder, n_bytes, error) of everything under `root`, paths relative to it."""
+    root = root if "://" in root or root.startswith("file:") else fs_absolute(root)
+
+    def children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = _store(root)
+        for batch in batches:
+            rows = []
+            for folder in batch["path"]:
+                place = f"{base}/{folder}".rstrip("/") or "/"
+                try:
+                    found = store.get_file_info(fs.FileSelector(place))
+                except OSError as error:
+                    rows.append((folder, False, None, str(error)))
+                    continue
+                for info in found:
+                    path = f"{folder}/{info.base_name}" if folder else info.base_name
+                    rows.append((path, info.type == fs.FileType.Directory, info.size, None))
+            yield pd.DataFrame(rows, columns=["path", "is_folder", "n_bytes", "error"])
+
+    level = spark.createDataFrame([("",)], "path string")
+    levels = []
+    while True:
+        found = materialize(level.mapInPandas(children, _LISTED), "listing")
+        levels.append(found)
+        level = found.filter("is_folder").select("path")
+        if level.isEmpty():
+            return reduce(DataFrame.union, levels)
+        cores = spark.sparkContext.defaultParallelism
+        level = level.repartition(cores, "path")
+
+
+def found_files(listing: DataFrame) -> DataFrame:
+    """(path, ext, ext_rank, n_bytes) of the files of known extensions, without their content."""
+    files = with_extension(listing.filter("not is_folder and error is null"))
+    return files.filter("ext_rank >= 0").select("path", "ext", "ext_rank", "n_bytes")
+
+
+def read_files(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """`files` with `data`, their bytes, or an `error` where they cannot be read."""
+    root = root if "://" in root or root.startswith("file:") else fs_absolute(root)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, base = _store(root)
+        for batch in batches:
+            part, size = [], 0
+            for row in batch.itertuples(index=False):
+                try:
+                    with store.open_input_stream(f"{base}/{row.path}") as stream:
+                        data, error = stream.read(), None
+                except OSError as problem:
+                    data, error = None, str(problem)
+                part.append((*row, data, error))
+                size += len(data or b"")
+                if size > 8 << 20:
+                    yield pd.DataFrame(part, columns=[*batch.columns, "data", "error"])
+                    part, size = [], 0
+            yield pd.DataFrame(part, columns=[*batch.columns, "data", "error"])
+
+    return files.select("path", "ext", "ext_rank", "n_bytes").mapInPandas(read, _READ)
+
+
 def scan_corpus(spark: SparkSession, root: str) -> DataFrame:
     """Files under `root` with a path relative to it; unreadable ones are skipped."""
-    base = urlparse(root).path.rstrip("/") + "/"
-    raw = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.{" + ",".join(EXTENSIONS) + "}")
-        .option("ignoreCorruptFiles", "true")
-        .option("ignoreMissingFiles", "true")
-        .load(root)
-    )
-    start = F.instr("path", base) + len(base)
-    files = raw.select(
-        F.substring(F.col("path"), start, F.length("path")).alias("path"),
-        decode_ignoring_errors(F.col("content")).alias("content"),
-    )
-    return with_extension(files).select("path", "ext", "ext_rank", "content")
+    files = read_files(spark, root, found_files(list_files(spark, root))).filter("error is null")
+    content = decode_ignoring_errors(F.col("data")).alias("content")
+    return files.select("path", "ext", "ext_rank", "n_bytes", content)
+
+
+def skipped_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, error) of folders and files under `root` that cannot be read."""
+    listing = list_files(spark, root)
+    unread = read_files(spark, root, found_files(listing)).filter("error is not null")
+    return listing.filter("error is not null").select("path", "error").union(unread.select("path", "error"))
 
 
 def scan_report(spark: SparkSession, root: str) -> DataFrame:
-    """Per extension: files found, bytes, and files holding invalid UTF-8."""
-    raw = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.{" + ",".join(EXTENSIONS) + "}")
-        .option("ignoreCorruptFiles", "true")
-        .load(root)
-    )
-    return (
-        with_extension(raw)
-        .groupBy("ext")
-        .agg(
-            F.count("*").alias("n_files"),
-            F.sum("length").alias("n_bytes"),
-            F.count_if(~F.is_valid_utf8(F.col("content").cast("string"))).alias("n_invalid_text"),
-        )
+    """Per extension: files found, bytes, files holding invalid UTF-8, and unreadable ones."""
+    files = read_files(spark, root, found_files(list_files(spark, root)))
+    return files.groupBy("ext").agg(
+        F.count("*").alias("n_files"),
+        F.sum("n_bytes").alias("n_bytes"),
+        F.count_if(~F.is_valid_utf8(F.col("data").cast("string"))).alias("n_invalid_text"),
+        F.count("error").alias("n_skipped"),
     )
 
 
@@ -74,10 +154,13 @@ def repo_of(path: Column) -> Column:
 
 
 def repo_sizes(files: DataFrame) -> DataFrame:
-    """Bytes and file count per repository (the first path part)."""
+    """Bytes and file count per repository (the first path part).
+
+    `found_files` is enough: sizes come from the listing, no content is read.
+    """
     return files.groupBy(repo_of(F.col("path")).alias("repository")).agg(
         F.count("*").alias("n_files"),
-        F.sum(F.octet_length("content").cast("bigint")).alias("n_bytes"),
+        F.sum("n_bytes").alias("n_bytes"),
     )
 
 

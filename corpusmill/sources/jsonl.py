@@ -7,15 +7,26 @@ from pyspark.sql.types import StructType
 
 
 def read_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Fields a record lacks become null; unknown fields are not read."""
-    return spark.read.schema(schema).json(path)
+    """Fields a record lacks become null; unknown fields are not read.
 
+    A line that is no record stops the read, rather than to count as a record of
+    nulls.
+    """
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
-def write_records(records: DataFrame, path: str, *partition_by: str) -> None:
-    """Overwrite `path`; null fields are written out."""
+
+def write_records(
+    records: DataFrame, path: str, *partition_by: str, keep_others: bool = False
+) -> None:
+    """Overwrite `path`; null fields are written out.
+
+    With `keep_others` only the partitions that `records` holds are replaced.
+    """
     writer = records.write.mode("overwrite").option("ignoreNullFields", "false")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if keep_others:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.json(path)
 
 

@@ -9,7 +9,8 @@ from corpusmill.sources.jsonl import read_records, write_records
 
 
 def write_results(results: DataFrame, path: str) -> None:
-    write_records(results.select(RESULTS.fieldNames()), path, "tag")
+    """Write the tags that `results` holds; a repeated tag is replaced, others stay."""
+    write_records(results.select(RESULTS.fieldNames()), path, "tag", keep_others=True)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:

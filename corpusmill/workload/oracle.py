@@ -40,10 +40,12 @@ _EXT_RANK = (
     ) + " END"
 )
 FILES = f"""files AS (
-  SELECT path, ext, CAST({_EXT_RANK} AS INTEGER) AS ext_rank, content
+  SELECT path, ext, CAST({_EXT_RANK} AS INTEGER) AS ext_rank, strlen(content) AS n_bytes, content
   FROM (SELECT path, regexp_extract(path, '[.]([a-z]+)$', 1) AS ext, content
         FROM ({d.CODE_FILES} UNION ALL {d.DOC_FILES})))"""
 
+_SIZE_ON_DISK = f"n_bytes + CASE WHEN {d.HAS_BAD_BYTES} THEN {len(d.BAD_BYTES)} ELSE 0 END"
+
 # Code: every module, else the whole file. Documents: cut at the headings.
 RECORDS = rf"""mods AS (
   SELECT *, regexp_extract_all(content, '(?s)\bmodule\s+\w+.*?\bendmodule\b') AS found
@@ -102,7 +104,9 @@ def _first_code(expr: str) -> str:
 
 def _lint_table(codes: str) -> str:
     return f"""lint AS (
-  SELECT DISTINCT sha256(code) AS code_sha, {d.LINT_VERDICT} AS ok FROM ({codes}) WHERE {d.LINT_RAN})"""
+  SELECT sha256(code) AS code_sha,
+         CASE WHEN NOT bool_or({d.LINT_VERDICT} IS NULL) THEN bool_and({d.LINT_VERDICT} AND NOT {d.LINT_AGAIN}) END AS ok
+  FROM ({codes}) WHERE {d.LINT_RAN} GROUP BY 1)"""
 
 
 # ---- near-duplicates --------------------------------------------------------
@@ -180,15 +184,16 @@ bugs AS (
            || {_quote(fv.BUG_ANSWER_TAIL)} AS output,
          'mechanical_bug_injection' AS source, source_path, transform_applied
   FROM drawn WHERE transform_applied IS NOT NULL)"""
-CANDIDATES = f"""candidates AS (
+CANDIDATES = f"""eligible AS (
   SELECT source_path, pos, content FROM records
-  WHERE type = 'sv_module' AND length(content) > 100 AND length(content) < 2000
-  ORDER BY md5(concat('42|', {_RECORD_KEY})), {_RECORD_KEY} LIMIT 100),
+  WHERE type = 'sv_module' AND length(content) > 100 AND length(content) < 2000),
 prompts AS (
-  SELECT *, {_quote(fv.EXPLAIN_PROMPT_HEAD)} || content || {_quote(fv.EXPLAIN_PROMPT_TAIL)} AS prompt FROM candidates),
-keyed AS (SELECT *, sha256(concat_ws(chr(1), source_path, prompt)) AS prompt_key FROM prompts)"""
+  SELECT *, {_quote(fv.EXPLAIN_PROMPT_HEAD)} || content || {_quote(fv.EXPLAIN_PROMPT_TAIL)} AS prompt FROM eligible),
+keyed AS (SELECT *, sha256(concat_ws(chr(1), {_RECORD_KEY}, prompt)) AS prompt_key FROM prompts)"""
 COMPLETIONS = """completions AS (
-  SELECT prompt_key, 'It is ' || length(prompt) || ' long.' AS completion FROM keyed WHERE length(prompt) % 3 > 0),
+  SELECT prompt_key, CASE WHEN length(prompt) % 5 = 0 THEN 'Another answer.'
+           ELSE 'It is ' || length(prompt) || ' long.' END AS completion
+  FROM keyed WHERE length(prompt) % 3 > 0),
 generated AS (
   SELECT 'rtl_explanation' AS task_type, {instruction} AS instruction, content AS input, completion AS output,
          'llm_augmented' AS source, source_path
@@ -197,10 +202,14 @@ generated AS (
 _SEEDS = ", ".join("(" + ", ".join(map(_quote, row)) + ")" for row in DEFAULT_SEEDS)
 
 # ---- lint -------------------------------------------------------------------
-_VERIFY = ", ".join(_quote(t) for t in fv.VERIFY_TASKS)
-LINT = f"""blocks AS (
-  SELECT pair_id, unnest(regexp_extract_all(output, '{_BLOCKS}', 1)) AS code
+_VERIFY = ", ".join(_quote(t) for t in (*fv.VERIFY_TASKS, fv.TASK_ASSERT))
+LINT = f"""fenced AS (
+  SELECT pair_id, task_type, output, regexp_extract_all(output, '{_BLOCKS}', 1) AS codes
   FROM pairs_in WHERE task_type IN ({_VERIFY})),
+blocks AS (
+  SELECT pair_id, unnest(CASE WHEN len(codes) = 0 AND task_type = {_quote(fv.TASK_ASSERT)}
+                              THEN [output] ELSE codes END) AS code
+  FROM fenced),
 {_lint_table("SELECT code FROM blocks")},
 folded AS (
   SELECT pair_id, bool_or(ok IS NULL) AS unknown, bool_or(NOT ok) AS failed
@@ -288,10 +297,12 @@ def statements() -> dict[str, str]:
     record_columns = "ext_rank, source_path, pos, type, module_name, title, content"
     return {
         # sources
-        "scan_corpus": q(FILES, select="SELECT * FROM files"),
-        "scan_report": q(FILES, select="""
-            SELECT ext, count(*) AS n_files, CAST(sum(strlen(content)) AS BIGINT) AS n_bytes,
-                   CAST(0 AS BIGINT) AS n_invalid_text FROM files GROUP BY ext"""),
+        "scan_corpus": q(FILES, select=f"SELECT * REPLACE ({_SIZE_ON_DISK} AS n_bytes) FROM files"),
+        "scan_report": q(FILES, select=f"""
+            SELECT ext, count(*) AS n_files, CAST(sum({_SIZE_ON_DISK}) AS BIGINT) AS n_bytes,
+                   count(*) FILTER ({d.HAS_BAD_BYTES}) AS n_invalid_text, CAST(0 AS BIGINT) AS n_skipped
+            FROM files GROUP BY ext"""),
+        "skipped_files": q(FILES, select="SELECT path, ext AS error FROM files WHERE false"),
         "read_records": q(DOCUMENTS, select="SELECT doc_id, content, source_path, type FROM docs"),
         "write_records": q(*_RECORD_INPUTS, select=f"SELECT {record_columns} FROM records"),
         "repo_sizes": q(FILES, select="""
@@ -350,7 +361,7 @@ def statements() -> dict[str, str]:
         "cpt_stats": q(DOCUMENTS, f"t AS (SELECT length({_strip('content')}) AS n FROM docs)", select="""
             SELECT count(*) AS candidate_docs, count(*) FILTER (n >= 30) AS kept_docs,
                    CAST(coalesce(sum(n) FILTER (n >= 30), 0) AS BIGINT) AS kept_chars FROM t"""),
-        "boundary_collisions": q(DOCUMENTS, select=f"""
+        "boundary_collisions": q(f"docs AS ({d.MARKED_RECORDS})", select=f"""
             SELECT count(*) FILTER (contains(content, '<|endofdoc|>')) AS n_docs_with_boundary
             FROM docs WHERE length({_strip('content')}) >= 30"""),
         # instruction pairs
@@ -362,7 +373,8 @@ def statements() -> dict[str, str]:
             SELECT * FROM bugs UNION ALL
             SELECT t, i, n, o, 'verified_hand_written_seed', NULL, NULL FROM (VALUES {_SEEDS}) seeds(t, i, n, o) UNION ALL
             SELECT *, NULL FROM generated"""),
-        "gen_candidates": q(*_RECORD_INPUTS, CANDIDATES, select="SELECT * FROM candidates"),
+        "gen_candidates": q(*_RECORD_INPUTS, CANDIDATES, select=f"""
+            SELECT * FROM eligible ORDER BY md5(concat('42|', {_RECORD_KEY})), {_RECORD_KEY} LIMIT 100"""),
         "gen_prompts": q(*_RECORD_INPUTS, CANDIDATES, select="SELECT * FROM keyed"),
         "gen_ingest": q(*_RECORD_INPUTS, CANDIDATES, COMPLETIONS, select="SELECT * FROM generated"),
         "code_blocks": q(PAIRS, select=f"""

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill import fixed_values as fv
 from corpusmill import schemas
 from corpusmill.functions import minhash as sketch
 from corpusmill.functions import text
 from corpusmill.operators import dedupe as near
 from corpusmill.operators import label, lint, pairs, parse, prefs, score, split
 from corpusmill.plans import corpus, scoring, tuning
-from corpusmill.runtime import scratch_path
+from corpusmill.runtime import materialize, scratch_path
 from corpusmill.sources import corpus_text, files, jsonl, results, seeds
 from corpusmill.workload import derived
 from corpusmill.workload.corpus_folder import write_folder
@@ -60,6 +61,12 @@ def scan_report(spark, folder):
     return files.scan_report(spark, write_folder(derived.files(spark, folder)))
 
 
+@_register
+def skipped_files(spark, folder):
+    """None of the given files is unreadable; `tests/test_sources.py` has some that are."""
+    return files.skipped_files(spark, write_folder(derived.files(spark, folder)))
+
+
 @_register
 def read_records(spark, folder):
     records = derived.document_records(spark, folder)
@@ -222,7 +229,7 @@ def cpt_stats(spark, folder):
 
 @_register
 def boundary_collisions(spark, folder):
-    return corpus_text.boundary_collisions(derived.document_records(spark, folder))
+    return corpus_text.boundary_collisions(derived.marked_records(spark, folder))
 
 
 # ---- instruction pairs ------------------------------------------------------
@@ -259,15 +266,17 @@ def gen_candidates(spark, folder):
 
 @_register
 def gen_prompts(spark, folder):
-    return pairs.gen_prompts(gen_candidates(spark, folder))
+    modules = pairs.gen_eligible(_code_records(spark, folder)).select("source_path", "pos", "content")
+    return pairs.gen_prompts(modules, _record_key())
 
 
 def _completions(prompts: DataFrame) -> DataFrame:
-    """Stand-in completions; every third prompt length failed."""
+    """Stand-in completions; every third prompt length failed, some were answered twice."""
     n = F.length("prompt")
-    return prompts.filter(n % 3 > 0).select(
-        "prompt_key", F.concat(F.lit("It is "), n.cast("string"), F.lit(" long.")).alias("completion")
-    )
+    answered = prompts.filter(n % 3 > 0)
+    answer = F.concat(F.lit("It is "), n.cast("string"), F.lit(" long.")).alias("completion")
+    again = answered.filter(n % 5 == 0).select("prompt_key", F.lit("Another answer.").alias("completion"))
+    return answered.select("prompt_key", answer).union(again)
 
 
 @_register
@@ -294,14 +303,19 @@ def code_blocks(spark, folder):
     )
 
 
+#: With assertions, whose answers are code as a whole if they hold no block.
+_VERIFIED = (*fv.VERIFY_TASKS, fv.TASK_ASSERT)
+
+
 def _linted(spark, folder) -> DataFrame:
     rows = derived.pairs(spark, folder)
-    return lint.lint_status(rows, derived.lint_results(lint.blocks_to_check(rows)))
+    outcomes = derived.lint_results(lint.blocks_to_check(rows, _VERIFIED))
+    return lint.lint_status(rows, outcomes, verify_tasks=_VERIFIED)
 
 
 @_register
 def lint_blocks(spark, folder):
-    return lint.blocks_to_check(derived.pairs(spark, folder))
+    return lint.blocks_to_check(derived.pairs(spark, folder), _VERIFIED)
 
 
 @_register
@@ -427,8 +441,11 @@ def _results(spark, folder) -> DataFrame:
 
 @_register
 def eval_results(spark, folder):
-    path = scratch_path(spark, "results")
-    results.write_results(_results(spark, folder), path)
+    """Tag by tag, the first one twice."""
+    path, scored = scratch_path(spark, "results"), materialize(_results(spark, folder), "scored")
+    tags = sorted(row[0] for row in scored.select("tag").distinct().collect())
+    for tag in [*tags, *tags[:1]]:
+        results.write_results(scored.filter(F.col("tag") == tag), path)
     return results.read_results(spark, path)
 
 

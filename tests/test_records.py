@@ -147,12 +147,55 @@ def test_candidates(spark):
 
 
 def test_completions_that_failed_give_no_pair(spark):
-    prompts = pairs.gen_prompts(chunks(spark, "module a; endmodule", "module b; endmodule"))
+    key = F.col("id").cast("string")
+    prompts = pairs.gen_prompts(chunks(spark, "module a; endmodule", "module b; endmodule"), key)
     done = prompts.filter("id = 1").select("prompt_key", F.lit("answer").alias("completion"))
     got = pairs.gen_ingest(prompts, done).collect()
     assert [(r["input"], r["output"], r["source_path"]) for r in got] == [("module b; endmodule", "answer", "p1")]
 
 
+def test_equal_modules_and_repeated_answers_do_not_multiply(spark):
+    modules = chunks(spark, "module a; endmodule", "module a; endmodule").withColumn("source_path", F.lit("one.sv"))
+    prompts = pairs.gen_prompts(modules, F.col("id").cast("string"))
+    answers = prompts.select("prompt_key", F.lit("b").alias("completion"))
+    answers = answers.union(prompts.select("prompt_key", F.lit("a")))
+    got = [r["output"] for r in pairs.gen_ingest(prompts, answers).collect()]
+    assert got == ["a", "a"]
+
+
+def test_several_verdicts_count_as_one(spark):
+    verdicts = [("x", True), ("x", True), ("y", True), ("y", False), ("z", False), ("z", None)]
+    table = spark.createDataFrame(verdicts, "code_sha string, ok boolean")
+    assert {r["code_sha"]: r["ok"] for r in lint.one_verdict(table).collect()} == {"x": True, "y": False, "z": None}
+
+
+def test_an_assertion_answer_without_fence_is_checked_whole(spark):
+    rows = spark.createDataFrame([(1, "sva_assertion_generation", "assert property (x);")], "pair_id long, task_type string, output string")
+    tasks = ("sva_assertion_generation",)
+    blocks = lint.blocks_to_check(rows, tasks).collect()
+    assert [b["code"] for b in blocks] == ["assert property (x);"]
+    bad = spark.createDataFrame([(blocks[0]["code_sha"], False)], "code_sha string, ok boolean")
+    assert lint.lint_status(rows, bad, verify_tasks=tasks).first()["lint_status"] == "verified_fail"
+
+
+def test_modules_that_never_close_are_passed_over(spark):
+    """After the last closing word nothing is searched, however many modules open there."""
+    text = "module a; endmodule\n" + "module x\n" * 60_000 + "endmodulex"
+    got = [r["content"] for r in parse.sv_modules(files(spark, ("a.sv", text))).collect()]
+    assert got == ["module a; endmodule"]
+
+
+def test_modules_are_searched_once(spark):
+    plan = parse.raw_records(files(spark, ("a.sv", "x")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(regexp_extract(") == 1
+
+
+def test_sections_keep_noncharacters(spark):
+    text = "p\ufdd1q\n# T\ufdd2 x\nbody\ufdd0\n"
+    rows = [(r["title"], r["content"]) for r in parse.md_sections(files(spark, ("a.md", text))).orderBy("pos").collect()]
+    assert rows == [(None, "p\ufdd1q"), ("# T\ufdd2 x", "# T\ufdd2 x\n\nbody\ufdd0")]
+
+
 def test_lint_routing(spark):
     def fenced(*codes):
         return "\n".join(f"```systemverilog\n{c}\n```" for c in codes)

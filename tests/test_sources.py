@@ -1,5 +1,7 @@
 """Readers and writers on real files."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,6 +24,10 @@ def tree(tmp_path):
     put("r2/n.md", "# Tïtle".encode())
     put("r2/n.txt", b"no")
     put("r2/x.svh", b"")
+    put(".github/b.md", b"hidden")
+    put("_docs/deep/c.md", b"# underscore")
+    put("r1/_d.md", b"private")
+    put("r3/clash.v", "\ufdd0a\ufffd\ufdd1\ufdd2".encode() + b"\xff\ufdd01")
     return str(tmp_path / "raw")
 
 
@@ -32,19 +38,50 @@ def test_scan(spark, tree):
         "r1/a b.sv": ("sv", 0, "module a;\nendmodule\nx"),
         "r2/bad.v": ("v", 1, bad),
         "r2/n.md": ("md", 3, "# Tïtle"),
+        "r2/x.svh": ("svh", 2, ""),
+        ".github/b.md": ("md", 3, "hidden"),
+        "_docs/deep/c.md": ("md", 3, "# underscore"),
+        "r1/_d.md": ("md", 3, "private"),
+        "r3/clash.v": ("v", 1, "\ufdd0a\ufffd\ufdd1\ufdd2\\ufdd01"),
     }
-    # A scheme in the root is fine too. Spark's file listing leaves out empty files.
-    assert files.scan_corpus(spark, "file://" + tree).count() == 3
+    assert files.scan_corpus(spark, "file://" + tree).count() == 8  # a scheme is fine too
+
+
+def test_roots_are_cut_exactly(spark, tree, monkeypatch):
+    """Relative roots, and a root whose text occurs again further down."""
+    top = os.path.dirname(tree)
+    again = os.path.join(tree, "raw", "raw")
+    os.makedirs(again)
+    with open(os.path.join(again, "a.md"), "w") as file:
+        file.write("x")
+    monkeypatch.chdir(top)
+    for root in ("raw", "./raw/", f"../{os.path.basename(top)}/raw", tree):
+        paths = {r["path"] for r in files.scan_corpus(spark, root).select("path").collect()}
+        assert {"raw/raw/a.md", "r2/n.md"} <= paths and len(paths) == 9
+    monkeypatch.chdir(tree)
+    assert files.scan_corpus(spark, ".").filter("path = 'r2/n.md'").count() == 1
+
+
+def test_what_cannot_be_read_is_told(spark, tree):
+    os.symlink("/nowhere/at/all.md", os.path.join(tree, "r1", "lost.md"))
+    listing = files.found_files(files.list_files(spark, tree))
+    gone = listing.filter("path = 'r2/n.md'").withColumn("path", F.lit("r2/gone.md"))
+    read = files.read_files(spark, tree, listing.union(gone)).filter("error is not null")
+    assert "r2/gone.md" in {r["path"] for r in read.collect()}
+    missing = files.skipped_files(spark, tree + "/none").collect()
+    assert [r["path"] for r in missing] == [""] and missing[0]["error"]
 
 
 def test_scan_report_and_repositories(spark, tree):
     report = {r["ext"]: r["n_invalid_text"] for r in files.scan_report(spark, tree).collect()}
-    assert report == {"sv": 0, "v": 1, "md": 0}
+    assert report == {"sv": 0, "v": 2, "md": 0, "svh": 0}
     scanned = files.scan_corpus(spark, tree)
     sizes = {r["repository"]: r["n_files"] for r in files.repo_sizes(scanned).collect()}
-    assert sizes == {"r1": 1, "r2": 2}
+    assert sizes == {"r1": 2, "r2": 3, "r3": 1, ".github": 1, "_docs": 1}
+    listed = files.found_files(files.list_files(spark, tree))
+    assert sorted(files.repo_sizes(listed).collect()) == sorted(files.repo_sizes(scanned).collect())
     known = spark.createDataFrame([("r1", "u", "l")], schemas.SOURCES)
-    assert [r["repository"] for r in files.provenance_gap(scanned, known).collect()] == ["r2"]
+    assert [r["repository"] for r in files.provenance_gap(scanned, known).orderBy("repository").collect()] == [".github", "_docs", "r2", "r3"]
 
 
 def test_jsonl_keeps_nulls_and_fills_missing_fields(spark, tmp_path):
@@ -90,6 +127,18 @@ def test_results_per_tag(spark, tmp_path):
     assert back.columns == schemas.RESULTS.fieldNames()
     assert sorted(map(str, back.collect())) == sorted(map(str, table.collect()))
     assert back.filter("tag = 'sft'").count() == 0
+    # A further tag leaves the others, a repeated one is replaced.
+    results.write_results(spark.createDataFrame([("t", "r", 1.0, None, None, "sft")], schemas.RESULTS), path)
+    results.write_results(spark.createDataFrame([("t", "z", 1.0, None, None, "base")], schemas.RESULTS), path)
+    told = sorted((r["tag"], r["prediction"]) for r in results.read_results(spark, path).collect())
+    assert told == [("base", "z"), ("sft", "r"), ("tuned", "q")]
+
+
+def test_a_broken_line_stops_the_read(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"s":"x"}\nnot json\n')
+    schema = spark.createDataFrame([], "s string").schema
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        jsonl.read_records(spark, str(tmp_path), schema).collect()
 
 
 def test_seeds(spark):
