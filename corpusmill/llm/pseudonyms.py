@@ -39,7 +39,10 @@ PATTERNS = {
     "ip": _BEFORE + r"\d{1,3}(?:\.\d{1,3}){3}" + _AFTER,
     "phone": r"(?<![\w@+])(?:(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[.-])[2-9]\d{2}[ .-]\d{4}"
     r"|\+[1-9]\d{0,2}(?:[ .-]?\(?\d{2,4}\)?){2,4})" + _AFTER,
-    "card": _BEFORE + r"\d(?:[ -]?\d){12,18}" + _AFTER,
+    # In groups only as printed on cards, so that a number before or after is not drawn in.
+    "card": _BEFORE
+    + r"(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})"
+    + _AFTER,
     "secret": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)|(?<=password=|token = \")[0-9a-f]{16,64}(?!\w)",
 }
 _ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
@@ -124,7 +127,10 @@ def _luhn(digits: Column) -> Column:
 
 
 def _card(text: Column, key: str) -> Column:
-    """Numbers of 13 to 19 digits with a right check digit; the first digit (the network) stays."""
+    """Numbers of 13 to 19 digits with a right check digit, in one piece or in groups of 4 4 4 4 or 4 6 5.
+
+    The first digit (the network) stays.
+    """
     digits = _digits(text)
     body = F.slice(digits, F.lit(2), F.size(digits) - 2)
     first = F.slice(digits, 1, 1)
