@@ -196,9 +196,9 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each anchor of a text."""
     for batch in batches:
         names, spans = batch["names"].to_pylist(), batch["spans"].to_pylist()
-        ids = np.repeat(batch["rid"].to_numpy(), [len(name) // 8 for name in names])
+        ids = np.repeat(batch["h1"].to_numpy(), [len(name) // 8 for name in names])
         columns = [np.frombuffer(b"".join(names), "<i8"), ids, np.frombuffer(b"".join(spans), "<i8")]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["name", "rid", "span"])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["name", "h1", "span"])
 
 
 def _windows(texts: DataFrame, window: int) -> DataFrame:
@@ -213,6 +213,7 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
                 place, text = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 for i in range(part.n_texts):
                     spans = np.array(lists[part.first + i], np.int64)
+                    spans = spans[(spans & 0xFFFFFFFF) + window - 1 <= part.bounds[i + 1] - part.bounds[i]]
                     begin, count = spans >> 32, (spans & 0xFFFFFFFF) - (spans >> 32)
                     steps = np.arange(count.sum()) + np.repeat(begin - np.cumsum(count) + count, count)
                     place.append(steps + part.bounds[i])
@@ -241,17 +242,21 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     `starts` are the first words of these windows; `whole` tells that all words
     go, as a smaller key has the same words.
     """
-    known = materialize(_scan(texts, window).withColumn("rid", F.monotonically_increasing_id()), "anchors")
+    scanned = materialize(_scan(texts, window), "anchors")
+    known = materialize(scanned.select("key", "tid", "h1", "h2", "n"), "digests")
     classes = known.filter(F.col("n") >= window).groupBy("h1", "h2")
-    classes = classes.agg(F.min(F.struct("key", "tid", "rid")).alias("least"))
-    classes = materialize(classes.select("h1", "h2", "least.*"), "texts")
-    firsts = known.select("rid", "names", "spans").join(classes.select("rid"), "rid")
-    rows = firsts.mapInArrow(_unpack, "name bigint, rid bigint, span bigint")
-    shared = rows.groupBy("name").agg(F.min("rid").alias("a"), F.max("rid").alias("b"))
+    classes = classes.agg(F.min(F.struct("key", "tid")).alias("least")).select("h1", "h2", "least.*")
+    classes = materialize(classes.withColumn("rid", F.monotonically_increasing_id()), "texts")
+    # Copies have the same anchors; a class is told by one digest here, and should
+    # two ever share it, each gets the other's windows to verify as well.
+    rows = scanned.select("h1", "names", "spans").mapInArrow(_unpack, "name bigint, h1 bigint, span bigint")
+    shared = rows.groupBy("name").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
     shared = materialize(shared.filter("a < b").select("name"), "shared")
-    spans = rows.join(shared, "name", "left_semi").groupBy("rid").agg(F.collect_list("span").alias("spans"))
-    spans = materialize(classes.select("rid", "key", "tid").join(spans, "rid"), "spans")
-    discard(shared)
+    discard()
+    spans = rows.join(shared, "name", "left_semi").select("h1", "span").distinct()
+    spans = spans.groupBy("h1").agg(F.collect_list("span").alias("spans"))
+    spans = materialize(classes.select("rid", "key", "tid", "h1").join(spans, "h1").drop("h1"), "spans")
+    discard(scanned, shared)
     windows = materialize(_windows(texts.join(spans, ["key", "tid"]), window), "windows")
     discard(spans)
     least = windows.groupBy("k1", "k2").agg(F.min("key").alias("least"), F.max("key").alias("most"))
