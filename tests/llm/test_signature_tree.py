@@ -74,13 +74,16 @@ def test_groups_by_hand(spark, monkeypatch, hot, block):
 
 def test_boundary_is_exact(spark):
     # 8 of 10 n-grams shared: exactly 80 percent; 79 of 99: just below.
-    for shared, more, linked in ((8, 2, True), (79, 20, False), (80, 20, True)):
-        left = [f"s{i}" for i in range(shared + 4)]
-        right = left + [f"t{i}" for i in range(more)]
+    rows, linked = [], {}
+    for case, (shared, more) in enumerate(((8, 2), (79, 20), (80, 20))):
+        left = [f"s{case}.{i}" for i in range(shared + 4)]
+        right = left + [f"t{case}.{i}" for i in range(more)]
         assert len(shingles(" ".join(left))) == shared and len(shingles(" ".join(right))) == shared + more
-        table = spark.createDataFrame([(1, " ".join(left)), (2, " ".join(right))], "doc_id bigint, text string")
-        found = {r.doc_id: r.component_id for r in signature_tree.jaccard_groups(table).collect()}
-        assert (found[2] == 1) == linked
+        rows += [(10 * case, " ".join(left)), (10 * case + 1, " ".join(right))]
+        linked[10 * case + 1] = 100 * shared >= 80 * (shared + more)
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.component_id for r in signature_tree.jaccard_groups(table).collect()}
+    assert {i: found[i] != i for i in linked} == linked == {1: True, 11: False, 21: True}
 
 
 @pytest.mark.parametrize("seed", range(4))
