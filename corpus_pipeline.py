@@ -28,15 +28,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id.
+    """Of each group of near-duplicates one document, that with the least id.
 
-    Rows that repeat an id with the same text count as one.
+    Documents are told apart by id and text, so those that share an id, or have
+    none, stand each for itself; without any id in a group, or with several texts
+    of its least id, one of these texts stays. Rows that repeat an id (or its
+    lack) with the same text count as one.
     """
-    groups = materialize(signature_tree.jaccard_groups(docs), "groups")
-    gone = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    again = groups.groupBy("doc_id").count().filter("count > 1")
-    same_id = docs["doc_id"].eqNullSafe(gone["doc_id"])
-    kept = docs.join(gone.select("doc_id").distinct(), same_id, "left_anti")
+    rows = materialize(signature_tree.surplus_rows(docs), "surplus")
+    gone = rows.filter("surplus").select(F.col("doc_id").alias("gone_id"), "mark").distinct()
+    again = rows.groupBy("doc_id", "mark").count().filter("count > 1")
+    same_id = docs["doc_id"].cast("bigint").eqNullSafe(gone["gone_id"])
+    same_text = signature_tree.text_mark(docs["text"]) == gone["mark"]
+    kept = docs.join(gone, same_id & same_text, "left_anti")
     return kept if again.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 

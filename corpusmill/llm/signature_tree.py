@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm import words
@@ -119,8 +119,16 @@ def parts_of(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> Iterator
                 yield b - a, _bitmap(own).tobytes(), named.tobytes()
 
 
-def sketches(table: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(key, n, h1, h2, parts) of every row; an empty set has n = 0 and no parts."""
+def text_mark(text: Column) -> Column:
+    """What tells a text from others of the same key."""
+    return F.sha2(text.cast("string").cast("binary"), 256)
+
+
+def sketches(table: DataFrame, key: str, text: str, n: int, percent: int, marked: bool = False) -> DataFrame:
+    """(key, mark, n, h1, h2, parts) of every row; an empty set has n = 0 and no parts.
+
+    The mark is that of the whole text if `marked`, or else null.
+    """
     texts = _texts(table, key, text)
     frequent = table.sparkSession.sparkContext.broadcast(_frequent(texts, n))
 
@@ -144,16 +152,19 @@ def sketches(table: DataFrame, key: str, text: str, n: int, percent: int) -> Dat
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["key"],
+                    batch["mark"],
                     pa.array(sizes, pa.int32()),
                     pa.array([a for a, _ in digests], pa.int64()),
                     pa.array([b for _, b in digests], pa.int64()),
                     pa.ListArray.from_arrays(offsets, nested),
                 ],
-                ["key", "n", "h1", "h2", "parts"],
+                ["key", "mark", "n", "h1", "h2", "parts"],
             )
 
-    kinds = "key bigint, n int, h1 bigint, h2 bigint, parts array<struct<n int, bitmap binary, prefix binary>>"
-    return texts.mapInArrow(run, kinds)
+    kinds = "key bigint, mark string, n int, h1 bigint, h2 bigint, "
+    kinds += "parts array<struct<n int, bitmap binary, prefix binary>>"
+    mark = text_mark(F.col("text")) if marked else F.lit(None).cast("string")
+    return texts.withColumn("mark", mark).mapInArrow(run, kinds)
 
 
 class _Forest:
@@ -471,12 +482,51 @@ def jaccard_groups(
     their own. A null key is never a component's id unless all keys are null.
     Repeated rows link with each other; an empty table gives an empty result.
     """
+    rows = _joined(table, key, text, n, percent)
+    empty = F.col("n") == 0
+    return rows.select(
+        F.col("key").alias(key),
+        F.col("n").cast("bigint").alias("n_shingles"),
+        F.when(empty, F.col("key")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(empty, 0).otherwise(F.col("n_links")).alias("n_links"),
+    )
+
+
+def surplus_rows(
+    table: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    n: int = WORDS_A_SHINGLE,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """(key, mark, surplus), a row for each row of `table`: `surplus` are all rows of a component but one.
+
+    Components are those of `jaccard_groups`, told apart even where they have the
+    same least key. The row that stays has the least key, nulls last, and of equal
+    keys the least `text_mark`; rows with the same key and text stay or go
+    together. Rows without words stay.
+    """
+    rows = _joined(table, key, text, n, percent, marked=True)
+    stays = _rank() == F.col("foremost")
+    return rows.select(F.col("key").alias(key), "mark", F.coalesce(~stays, F.lit(False)).alias("surplus"))
+
+
+def _rank() -> Column:
+    """The order of rows in a component."""
+    return F.struct(F.col("key").isNull().alias("last"), "key", "mark")
+
+
+def _joined(table: DataFrame, key: str, text: str, n: int, percent: int, marked: bool = False) -> DataFrame:
+    """(key, mark, n, component_id, foremost, n_links) of every row; the last three are null without words."""
     if not 50 < percent <= 100:
         raise ValueError("percent must lie above 50")
-    sketched = materialize(sketches(table, key, text, n, percent), "sketches")
-    known = materialize(sketched.select("key", "n", "h1", "h2"), "digests")
+    sketched = materialize(sketches(table, key, text, n, percent, marked), "sketches")
+    known = materialize(sketched.select("key", "mark", "n", "h1", "h2"), "digests")
     classes = sketched.filter("n > 0").groupBy("h1", "h2").agg(
-        F.min("key").alias("rep"), F.count("*").alias("copies"), F.first("parts").alias("parts")
+        F.min("key").alias("rep"),
+        F.min(_rank()).alias("foremost"),
+        F.count("*").alias("copies"),
+        F.first("parts").alias("parts"),
     )
     classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     discard(sketched)
@@ -490,19 +540,23 @@ def jaccard_groups(
     discard(candidates)
     roots = components(links.filter("b is not null"))
     numbers = links.filter("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("n_links").alias("others"))
-    labelled = classes.select("cid", "rep", "copies", "h1", "h2").join(
+    labelled = classes.select("cid", "rep", "foremost", "copies", "h1", "h2").join(
         roots.withColumnRenamed("node", "cid"), "cid", "left"
     )
     labelled = labelled.join(numbers, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    least = labelled.groupBy("root").agg(F.min("rep").alias("component_id"))
-    labelled = labelled.join(least, "root").select(
-        "h1", "h2", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
+    least = labelled.groupBy("root").agg(F.min("rep").alias("component_id"), F.min("foremost").alias("foremost"))
+    labelled = labelled.drop("foremost").join(least, "root").select(
+        "h1",
+        "h2",
+        "component_id",
+        "foremost",
+        (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
     )
-    rows = known.select("key", F.col("n").alias("n_shingles"), "h1", "h2").join(labelled, ["h1", "h2"], "left")
-    empty = F.col("n_shingles") == 0
+    rows = known.join(labelled, ["h1", "h2"], "left")
+    wordless = F.col("n") == 0
     return rows.select(
-        F.col("key").alias(key),
-        F.col("n_shingles").cast("bigint").alias("n_shingles"),
-        F.when(empty, F.col("key")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(empty, 0).otherwise(F.col("n_links")).alias("n_links"),
+        "key",
+        "mark",
+        "n",
+        *[F.when(~wordless, F.col(c)).alias(c) for c in ("component_id", "foremost", "n_links")],
     )

@@ -51,6 +51,22 @@ def test_odd_documents(spark):
     assert empty.collect() == []
 
 
+def test_near_copies_by_row(spark):
+    base = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcdefg"}
+    rows = [
+        (1, base["a"]), (None, base["a"] + " more"), (None, base["b"]), (None, base["c"]), (None, None),
+        (5, base["a"] + " again"), (5, base["d"]), (5, base["e"]), (5, base["e"]),
+        (7, base["f"]), (7, base["f"] + " more"), (None, base["g"]), (None, base["g"] + " more"), (None, base["g"]), (5, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", str(n), 1) for n, (i, t) in enumerate(rows)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs.repartition(5), FOLDER).collect()]
+    one_of = {7: [(7, base["f"]), (7, base["f"] + " more")], None: [(None, base["g"]), (None, base["g"] + " more")]}
+    sure = [(1, base["a"]), (None, base["b"]), (None, base["c"]), (None, None), (5, base["d"]), (5, base["e"]), (5, "")]
+    assert all(got.count(r) == 1 for r in sure)
+    assert all(sum(got.count(r) for r in rows) == 1 for rows in one_of.values())
+    assert len(got) == len(sure) + len(one_of)
+
+
 def test_registered():
     names = queries.queries()
     assert "pipeline" in names and pseudonyms.EXAMPLE_KEY
