@@ -28,10 +28,31 @@ _DAYS = (189, 773)  # days of 400 years: a full cycle of the calendar
 
 _EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w@])"
 _BEFORE, _AFTER = r"(?<![\w@]|\d[.,-])", r"(?![\w@]|[.,-]\d)"
+#: Countries by the length of their account numbers.
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE BI", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CM CZ DZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "IR IS TR",
+    27: "BF BJ CF CG DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BY CI CY DO GT HN HU LB ML MA NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    """Letters and digits of the country's length; of any length for other countries."""
+    known = {n: codes.replace(" ", "|") for n, codes in IBAN_COUNTRIES.items()}
+    forms = [
+        rf"(?:{codes})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (f"(?: ?[A-Z0-9]{{{n % 4}}})" if n % 4 else "")
+        for n, codes in known.items()
+    ]
+    other = rf"(?!{'|'.join(known.values())})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return rf"(?<!\w)(?:{'|'.join([*forms, other])})(?!\w)"
+
+
 #: Pattern of each kind, tried in this order at each place.
 PATTERNS = {
     "email": _EMAIL,
-    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "iban": _iban_pattern(),
     "date": _BEFORE
     + r"(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}|\d{2}-\d{2}-\d{4})"
     + _AFTER,
@@ -45,7 +66,9 @@ PATTERNS = {
     + _AFTER,
     "secret": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)|(?<=password=|token = \")[0-9a-f]{16,64}(?!\w)",
 }
-_ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
+#: At each place that may begin an account number, before any check; they may overlap.
+_IBAN_LIKE = rf"(?<!\w)(?=({PATTERNS['iban']}))"
+_IBAN_START = r"(?<!\w)[A-Z]{2}\d{2}[ A-Z0-9]"
 _KEPT = "[^A-Za-z0-9]"
 
 
@@ -223,14 +246,19 @@ def _mod97(text: Column) -> Column:
     )
 
 
+def _is_iban(text: Column) -> Column:
+    """Whether the check digits of a match are right."""
+    plain = F.regexp_replace(text, " ", "")
+    return (F.length(plain) >= 15) & (_mod97(F.concat(F.substring(plain, 5, 64), F.substring(plain, 1, 4))) == 1)
+
+
 def _iban(text: Column, key: str) -> Column:
     """Account numbers with right check digits; the country and the places of letters stay."""
     plain = F.regexp_replace(text, " ", "")
     country, body = F.substring(plain, 1, 2), F.substring(plain, 5, 64)
-    right = (F.length(plain) >= 15) & (_mod97(F.concat(body, F.substring(plain, 1, 4))) == 1)
     fresh = _letters(body, key, "iban")
     check = F.lpad((98 - _mod97(F.concat(fresh, country, F.lit("00")))).cast("string"), 2, "0")
-    return F.when(right, _refill(text, _characters(F.concat(country, check, fresh))))
+    return F.when(_is_iban(text), _refill(text, _characters(F.concat(country, check, fresh))))
 
 
 def _email(text: Column, key: str) -> Column:
@@ -257,7 +285,9 @@ KINDS: dict[str, Callable[[Column, str], Column]] = {
 
 def _kind(found: Column) -> Column:
     """The first kind whose pattern a match has, taken by itself."""
-    return F.coalesce(*[F.when(found.rlike(f"^(?:{_alone(p)})$"), kind) for kind, p in PATTERNS.items()])
+    fits = {kind: found.rlike(f"^(?:{_alone(p)})$") for kind, p in PATTERNS.items()}
+    fits["iban"] = fits["iban"] & _is_iban(found)
+    return F.coalesce(*[F.when(fit, kind) for kind, fit in fits.items()])
 
 
 def _alone(pattern: str) -> str:
@@ -265,6 +295,20 @@ def _alone(pattern: str) -> str:
     return pattern.replace(r'(?<=password=|token = \")', "")
 
 
+def _any(ibans: Column) -> Column:
+    """The pattern of all kinds for a text that holds these account numbers.
+
+    They stand in it letter by letter, so that what only looks like one draws in
+    nothing, neither a true one nor a value of another kind.
+    """
+    true = F.when(F.size(ibans) > 0, F.concat(F.lit(r"(?<!\w)(?:"), F.array_join(ibans, "|"), F.lit(r")(?!\w)")))
+    parts = [
+        F.coalesce(true, F.lit("(?!)")) if kind == "iban" else F.lit(f"(?:{pattern})")
+        for kind, pattern in PATTERNS.items()
+    ]
+    return F.concat_ws("|", *parts)
+
+
 def pseudonym(found: Column, key: str) -> Column:
     """The pseudonym of one matched value; the value itself where its check fails."""
     kind = _kind(found)
@@ -286,11 +330,14 @@ def pseudonymise(table: DataFrame, key: str, text: str = "text") -> DataFrame:
     """
     source = F.col(f"`{text}`").cast("string")
     # Most texts hold nothing; a cheap test spares them the patterns.
-    matches = F.when(source.rlike("[0-9@]"), F.regexp_extract_all(source, F.lit(_ANY), F.lit(0)))
-    rows = table.withColumn("__found", matches)
+    likely = F.when(source.rlike(_IBAN_START), F.regexp_extract_all(source, F.lit(_IBAN_LIKE), F.lit(1)))
+    rows = table.withColumn("__ibans", F.array_distinct(F.filter(likely, _is_iban)))
+    rows = rows.withColumn("__any", _any(F.col("__ibans")))
+    matches = F.when(source.rlike("[0-9@]"), F.regexp_extract_all(source, F.col("__any"), F.lit(0)))
+    rows = rows.withColumn("__found", matches)
     rows = rows.withColumn("__fresh", F.transform("__found", lambda found: pseudonym(found, key)))
     woven = F.zip_with(
-        F.split(source, _ANY, -1), "__fresh", lambda gap, fresh: F.concat(gap, F.coalesce(fresh, F.lit("")))
+        F.split(source, F.col("__any"), -1), "__fresh", lambda gap, fresh: F.concat(gap, F.coalesce(fresh, F.lit("")))
     )
     changed = F.filter(F.zip_with("__found", "__fresh", lambda a, b: a != b), lambda differs: differs)
     held = F.size("__found") > 0

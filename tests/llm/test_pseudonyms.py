@@ -69,6 +69,28 @@ def test_formats_and_checks(spark):
     assert all(n > 0 for _, n in hide(spark, texts)) and all(a != b for a, b in zip(got, texts))
 
 
+def test_ibans_and_their_neighbours(spark):
+    def right(iban):
+        plain = iban.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+    ibans = ["BE68 5390 0754 7034", "AT611904300234573201", "ES9121000418450200051332", "NO93 8601 1117 947", "NL91ABNA0417164300", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    card = "4111 1111 1111 1111"
+    tails = [" now", " 2024 now", " IN full", " " + card, " A1", "", ", " + ibans[0]]
+    texts = [f"see {i}{t}" for i in ibans for t in tails]
+    got = hide(spark, texts)
+    for (new, n), (iban, tail) in zip(got, [(i, t) for i in ibans for t in tails]):
+        made, rest = new[4 : 4 + len(iban)], new[4 + len(iban) :]
+        assert made != iban and right(made) and made[:2] == iban[:2] and len(new) == 4 + len(iban) + len(tail)
+        hidden = tail[-len(card) :] == card or tail[2:] in ibans
+        assert n == 1 + hidden and (rest != tail if hidden else rest == tail)
+        assert rest != " " + card and (tail != " " + card or luhn(rest))
+    # What fails its check draws in neither an account nor a card.
+    false = hide(spark, ["AT61 " + ibans[0], "BE68 ABCD " + card, "SE12 " + card + " 2024", "XX12 " + card])
+    assert [n for _, n in false] == [1] * 4 and right(false[0][0][5:]) and ibans[0] not in false[0][0]
+    assert all(card not in t for t, _ in false)
+
+
 def test_linked_across_documents_and_keys(spark):
     texts = ["x 4111111111111111 y", "4111111111111111", "Bob@a.org", "see bob@a.org!"]
     one, other = hide(spark, texts), hide(spark, texts, "another key")
