@@ -27,6 +27,7 @@ _FIRST_DAY = "1800-01-01"
 _DAYS = (189, 773)  # days of 400 years: a full cycle of the calendar
 
 _EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w@])"
+_MARK = r"(?<=(?i:password=|token = \"))"
 _BEFORE, _AFTER = r"(?<![\w@]|\d[.,-])", r"(?![\w@]|[.,-]\d)"
 #: Countries by the length of their account numbers.
 IBAN_COUNTRIES = {
@@ -55,7 +56,7 @@ PATTERNS = {
     "iban": _iban_pattern(),
     "date": _BEFORE
     + r"(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}|\d{2}-\d{2}-\d{4})"
-    + _AFTER,
+    + rf"(?:(?=[Tt]\d{{2}}(?!\w*@))|{_AFTER})",
     "ssn": _BEFORE + r"\d{3}-\d{2}-\d{4}" + _AFTER,
     "ip": _BEFORE + r"\d{1,3}(?:\.\d{1,3}){3}" + _AFTER,
     "phone": r"(?<![\w@+])(?:(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[.-])[2-9]\d{2}[ .-]\d{4}"
@@ -64,7 +65,7 @@ PATTERNS = {
     "card": _BEFORE
     + r"(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})"
     + _AFTER,
-    "secret": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)|(?<=password=|token = \")[0-9a-f]{16,64}(?!\w)",
+    "secret": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)|" + _MARK + r"[0-9A-Fa-f]{16,64}(?!\w)",
 }
 #: At each place that may begin an account number, before any check; they may overlap.
 _IBAN_LIKE = rf"(?<!\w)(?=({PATTERNS['iban']}))"
@@ -268,11 +269,19 @@ def _email(text: Column, key: str) -> Column:
 
 
 def _secret(text: Column, key: str) -> Column:
-    """Access keys after their mark, and hexadecimal passwords and tokens, digit by digit."""
-    hexadecimal = text.rlike("^[0-9a-f]+$")
+    """Access keys after their mark, and hexadecimal passwords and tokens, digit by digit.
+
+    The case of each letter stays; a letter in a digit's place has that of the first letter.
+    """
+    hexadecimal = text.rlike("^[0-9A-Fa-f]+$")
     nibbles = F.transform(_characters(text), lambda c: F.conv(c, 16, 10).cast("bigint"))
     sizes = F.transform(nibbles, lambda _: F.lit(16).cast("bigint"))
-    fresh = F.transform(permute(nibbles, sizes, key, "secret"), lambda x: F.lower(F.hex(x)))
+    upper = lambda c: c.rlike("[A-F]") | (c.rlike("[0-9]") & text.rlike("^[0-9]*[A-F]"))
+    fresh = F.zip_with(
+        permute(nibbles, sizes, key, "secret"),
+        _characters(text),
+        lambda x, c: F.when(upper(c), F.hex(x)).otherwise(F.lower(F.hex(x))),
+    )
     marked = F.concat(F.lit("AKIA"), _letters(F.substring(text, 5, 64), key, "secret"))
     return F.when(hexadecimal, F.array_join(fresh, "")).otherwise(marked)
 
@@ -292,7 +301,7 @@ def _kind(found: Column) -> Column:
 
 def _alone(pattern: str) -> str:
     """A pattern for a match without its surroundings."""
-    return pattern.replace(r'(?<=password=|token = \")', "")
+    return pattern.replace(_MARK, "")
 
 
 def _any(ibans: Column) -> Column:

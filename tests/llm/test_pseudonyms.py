@@ -91,6 +91,18 @@ def test_ibans_and_their_neighbours(spark):
     assert all(card not in t for t, _ in false)
 
 
+def test_secrets_and_dates_in_other_spellings(spark):
+    token = "9233a8bd14c0ffee9233a8bd14c0ffee"
+    texts = [f'token = "{token}"', f'TOKEN = "{token.upper()}"', f"Password={token}", f"PASSWORD={token.upper()}", 'TOKEN = "AB12CD34EF56AB78"', "2024-01-05", "at 2024-01-05T10:00:00Z", "2024-01-05Total"]
+    got = hide(spark, texts)
+    assert [n for _, n in got] == [1] * 7 + [0]
+    made = got[0][0][9:-1]
+    assert made != token and re.fullmatch("[0-9a-f]{32}", made)
+    assert [t for t, _ in got[1:4]] == [f'TOKEN = "{made.upper()}"', f"Password={made}", f"PASSWORD={made.upper()}"]
+    assert re.fullmatch('TOKEN = "[0-9A-F]{16}"', got[4][0])
+    assert got[6][0] == f"at {got[5][0]}T10:00:00Z"
+
+
 def test_linked_across_documents_and_keys(spark):
     texts = ["x 4111111111111111 y", "4111111111111111", "Bob@a.org", "see bob@a.org!"]
     one, other = hide(spark, texts), hide(spark, texts, "another key")
