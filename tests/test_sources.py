@@ -27,7 +27,7 @@ def tree(tmp_path):
     put(".github/b.md", b"hidden")
     put("_docs/deep/c.md", b"# underscore")
     put("r1/_d.md", b"private")
-    put("r3/clash.v", "\ufdd0a\ufffd\ufdd1\ufdd2".encode() + b"\xff\ufdd01")
+    put("r3/clash.v", "\ufdd0a\ufffd\ufdd1\ufdd2".encode() + b"\xff" + "\ufdd01".encode())
     return str(tmp_path / "raw")
 
 
@@ -42,7 +42,7 @@ def test_scan(spark, tree):
         ".github/b.md": ("md", 3, "hidden"),
         "_docs/deep/c.md": ("md", 3, "# underscore"),
         "r1/_d.md": ("md", 3, "private"),
-        "r3/clash.v": ("v", 1, "\ufdd0a\ufffd\ufdd1\ufdd2\\ufdd01"),
+        "r3/clash.v": ("v", 1, "\ufdd0a\ufffd\ufdd1\ufdd2\ufdd01"),
     }
     assert files.scan_corpus(spark, "file://" + tree).count() == 8  # a scheme is fine too
 
