@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +53,8 @@ def op4_multiset_hash(spark, folder):
 
 def tokenizer_path() -> str:
     """The production vocabulary; any byte-level BPE file of the same format will do."""
+    import public_tokenizers  # here, so that the other queries need no vocabulary
+
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
