@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, main_text, multiset_hash, neighbours, packing, pseudonyms, quality, recompression, signature_tree, toxicity, url_filter
+from corpusmill.llm import bpe, main_text, multiset_hash, neighbours, packing, pseudonyms, quality, recompression, signature_tree, toxicity, url_filter, whitening
 from corpusmill.sources.tables import load_table
 
 URL_RULES = (
@@ -107,6 +107,11 @@ def op11_main_text(spark, folder):
     return main_text.extract(load_table(spark, folder, "pages").select("page_id", "url", "html"))
 
 
+@_register
+def op13_whitening(spark, folder):
+    return whitening.whiten(load_table(spark, folder, "embeddings"))
+
+
 @_register
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
