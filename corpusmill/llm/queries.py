@@ -8,7 +8,10 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, main_text, multiset_hash, neighbours, packing, pseudonyms, quality, recompression, signature_tree, toxicity, url_filter, whitening
+from corpusmill.llm import (
+    bpe, conversation_trie, main_text, multiset_hash, neighbours, packing, pseudonyms, quality, recompression, signature_tree,
+    toxicity, url_filter, whitening,
+)
 from corpusmill.sources.tables import load_table
 
 URL_RULES = (
@@ -107,6 +110,11 @@ def op11_main_text(spark, folder):
     return main_text.extract(load_table(spark, folder, "pages").select("page_id", "url", "html"))
 
 
+@_register
+def op12_conversation_trie(spark, folder):
+    return conversation_trie.prefix_trie(load_table(spark, folder, "conversations"))
+
+
 @_register
 def op13_whitening(spark, folder):
     return whitening.whiten(load_table(spark, folder, "embeddings"))

@@ -1,0 +1,107 @@
+"""The trie against one built turn by turn from plain dictionaries."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from corpusmill.llm import conversation_trie as trie
+from corpusmill.llm import queries
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, depth int, N_CONVS string"
+
+
+def expected(rows):
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn is not None, turn, role or "", text or ""))
+    own = {c: [(r, t) for _, _, r, t in sorted(turns, key=lambda x: x[:3])] for c, turns in own.items()}
+    members, ends = {}, {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        whole = tuple(own.get(c - c % 20, [])[:h] + turns[h:])
+        ends.setdefault(whole, []).append(c)
+        for d in range(len(whole) + 1):
+            members.setdefault(whole[:d], []).append(c)
+    children, leaves, saved = dict.fromkeys(members, 0), dict.fromkeys(members, 0), dict.fromkeys(members, 0)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, own_members in members.items():
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", node[-1][1])) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += (len(own_members) - 1) * words
+            leaves[node[:d]] += not children[node]
+    return sorted(
+        (
+            min(m), len(node), min(members[node[:-1]]) if node else -1, len(m), children[node], leaves[node], saved[node],
+            hashlib.sha256(",".join(map(str, sorted(ends.get(node, [])))).encode()).hexdigest(),
+        )
+        for node, m in members.items()
+    )
+
+
+def result(frame):
+    assert frame.columns == [
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    ]
+    return sorted(tuple(-1 if v is None else v for v in row) for row in frame.collect())
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_given_conversations(spark, folder):
+    rows = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()
+    assert result(queries.queries()["op12_conversation_trie"](spark, folder)) == expected(rows)
+
+
+def _random_rows(seed):
+    draw = random.Random(seed)
+    say = [("user", "a b"), ("user", "a"), ("bot", "a b"), ("", "x\ty  z"), (None, ""), ("u", None)]
+    rows = []
+    for conv in draw.sample(range(-30, 130), draw.choice([1, 5, 40])):
+        few = say[: draw.choice([1, 2, 6])]
+        for turn in range(draw.choice([1, 2, 3, 4, 9, 17])):
+            rows.append((conv, turn, *draw.choice(few)))
+    return rows
+
+
+@pytest.mark.parametrize("seed, segment, block", [(1, 64, 4096), (2, 2, 3), (3, 1, 2), (4, 4, 5), (5, 3, 1)])
+def test_random_conversations(spark, seed, segment, block):
+    rows = _random_rows(seed)
+    if seed % 2:  # a hot conversation of copies, and a long one twice
+        rows += [(c, t, "user", "same") for c in range(1000, 1150) for t in range(5)]
+        rows += [(c, t, "user", f"turn {t}") for c in (2000, 2020) for t in range(70)]
+    table = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).repartition(5)
+    assert result(trie.prefix_trie(table, segment=segment, block=block)) == expected(rows)
+
+
+def test_odd_tables(spark):
+    rows = [(None, 0, "user", "lost"), (3, None, "user", "first"), (3, 5, "user", "b"), (3, -1, "user", "c")]
+    rows += [(7, 1, "user", "twice")] * 6 + [(45, 0, "u", "w " * 100_000)]
+    assert result(trie.prefix_trie(spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA))) == expected(rows)
+    table = spark.createDataFrame([], SCHEMA)
+    assert result(trie.prefix_trie(table)) == []
+    bare = [(c, 0, "u", "gone") for c in range(1, 20) if zlib.crc32(str(c).encode()) % 4]
+    got = result(trie.prefix_trie(spark.createDataFrame([(*r, 1, "x") for r in bare], SCHEMA)))
+    assert got == expected(bare) and len(got) == 1 and got[0][5] == 1
+    only_null = spark.createDataFrame([(None, 0, "u", "t", 1, "x")], SCHEMA)
+    assert result(trie.prefix_trie(only_null)) == []
+
+
+def test_sparse_table():
+    draw = np.random.default_rng(1)
+    for n in (1, 2, 3, 7, 8, 40):
+        values = draw.integers(0, 6, n)
+        table = trie.SparseTable(values)
+        for low in range(n):
+            for high in range(low, n):
+                assert table.least(np.array([low]), np.array([high]))[0] == values[low : high + 1].min()
+            for depth in range(7):
+                at, want = np.array([low]), np.array([depth])
+                first = next((i for i in range(low, 0, -1) if values[i] < depth), 0)
+                last = next((i - 1 for i in range(low + 1, n) if values[i] < depth), n - 1)
+                assert (table.first(at, want)[0], table.last(at, want)[0]) == (first, last)
