@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +123,44 @@ def test_removed_records_remove_nothing(spark):
     assert {0, 2} <= set(kept) and sorted(removed) == sorted(set(range(1200)) - set(kept))
 
 
+def _kept_by_walk(rows):
+    closed, kept = set(), set()
+    for i, buckets in sorted(rows):
+        if not closed & set(buckets):
+            kept.add(i)
+            closed |= set(buckets)
+    return kept
+
+
+def _decided(spark, monkeypatch, rows, walk_rows):
+    """The kept records, and the number of written steps."""
+    frame = pd.DataFrame([(i, b"%d" % b) for i, own in rows for b in set(own)], columns=["__ord", "bucket"])
+    members = spark.createDataFrame(frame, "__ord bigint, bucket binary").repartition(8)
+    shared, steps = dedupe._shared_buckets(members, 1000), []
+    write = dedupe.materialize
+    monkeypatch.setattr(dedupe, "materialize", lambda df, label: steps.append(label) or write(df, label))
+    removed = dedupe._removed_in_rounds(shared, walk_rows)
+    gone = [r[0] for part in removed for r in part.collect()]
+    assert len(gone) == len(set(gone))
+    return {i for i, _ in rows} - set(gone), steps
+
+
+def test_a_chain_of_100_000_records_takes_few_steps(spark, monkeypatch):
+    rows = [(i, [i, i + 1]) for i in range(100_000)]
+    kept, steps = _decided(spark, monkeypatch, rows, dedupe.WALK_ROWS)
+    assert kept == set(range(0, 100_000, 2)) and len(steps) <= 12
+
+
+def test_components_are_walked_apart_and_large_ones_in_parts(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(-i, [i, i + 1]) for i in range(2000)]  # one long chain, against the order of its links
+    rows += [(10_000 + 40 * c + i, [10**6 + 100 * c + i, 10**6 + 100 * c + i + 1]) for c in range(30) for i in range(25)]
+    rows += [(20_000 + i, [2 * 10**6 + rng.randrange(500) for _ in range(4)]) for i in range(600)]
+    kept, steps = _decided(spark, monkeypatch, rows, 1500)
+    assert kept == _kept_by_walk(rows)
+    assert steps.count("walked") >= 2 and "large-components" in steps
+
+
 def test_length_limit_and_blank_records(spark):
     rows = [(1, "x" * 49), (2, "y" * 50), (3, " " * 60), (4, "\t" * 80)]
     records = spark.createDataFrame(rows, "id bigint, content string")
