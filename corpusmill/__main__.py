@@ -22,7 +22,9 @@ def parser() -> argparse.ArgumentParser:
         return command
 
     stage("parse", stages.parse, "root", "out")
-    stage("dedupe", stages.remove_duplicates, "source", "out")
+    dedupe = stage("dedupe", stages.remove_duplicates, "source", "out")
+    for option in ("--index", "--batch"):
+        dedupe.add_argument(option)
     stage("label", stages.add_labels, "source", "out")
     stage("corpus", stages.corpus, "source", "out")
     stage("prompts", stages.prompts, "source", "out").add_argument(

@@ -12,6 +12,7 @@ from corpusmill import schemas
 from corpusmill.operators import lint, pairs, prefs, score, split
 from corpusmill.operators.dedupe import dedupe, dedupe_stats
 from corpusmill.operators.label import label_chunks, label_stats
+from corpusmill.operators.near_index import NearIndex
 from corpusmill.operators.parse import raw_records
 from corpusmill.plans.corpus import RECORD_ORDER
 from corpusmill.plans.scoring import score_predictions
@@ -39,9 +40,16 @@ def parse(spark: SparkSession, root: str, out: str) -> DataFrame:
     return written.groupBy("type").agg(F.count("*").alias("n_records"))
 
 
-def remove_duplicates(spark: SparkSession, source: str, out: str) -> DataFrame:
+def remove_duplicates(
+    spark: SparkSession, source: str, out: str, index: str | None = None, batch: str | None = None
+) -> DataFrame:
+    """With an index, also against the batches before; the batch is named by its source unless told."""
     records = jsonl.read_records(spark, source, schemas.RAW_RECORDS)
-    jsonl.write_records(dedupe(records, RECORD_ORDER), out)
+    if index:
+        kept = NearIndex(spark, index).insert(records, RECORD_ORDER, batch or source)
+    else:
+        kept = dedupe(records, RECORD_ORDER)
+    jsonl.write_records(kept, out)
     return dedupe_stats(records, jsonl.read_records(spark, out, schemas.RAW_RECORDS))
 
 

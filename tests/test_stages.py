@@ -40,6 +40,9 @@ def test_all_stages(spark, data, capsys):
     kept = jsonl.read_records(spark, path("chunks"), schemas.RAW_RECORDS)
     # The 15 repeats within a file and one of the two equal files go, and the short intro.
     assert kept.filter("type = 'sv_module'").count() == 30 and kept.count() == 31
+    for batch, n in (("one", 31), ("two", 0), ("one", 31)):
+        stage("dedupe", path("records"), path(batch), "--index", path("index"), "--batch", batch)
+        assert jsonl.read_records(spark, path(batch), schemas.RAW_RECORDS).count() == n
     stage("label", path("chunks"), path("labeled"))
     assert "kept_chars" in stage("corpus", path("labeled"), path("text"))
     stage("prompts", path("labeled"), path("prompts"), "--n", "5")
