@@ -1,9 +1,9 @@
 """Recursive scan of source and documentation files.
 
-Folders are listed level by level and files are read in tasks, so no list of
-names passes through the driver, and hidden names, empty files and the path
-below the root come out as they are. A folder or file that cannot be read is a
-row with an error, which `skipped_files` shows.
+Folders are listed level by level in tasks, and files are read in partitions of
+even bytes, so no list of names passes through the driver, and hidden names,
+empty files and the path below the root come out as they are. A folder or file
+that cannot be read is a row with a reason, which `skipped_files` shows.
 """
 
 from __future__ import annotations
@@ -19,11 +19,15 @@ from pyspark.sql import functions as F
 
 from corpusmill.fixed_values import CODE_EXTENSIONS, DOC_EXTENSIONS
 from corpusmill.runtime import materialize
+from corpusmill.sources.planned_files import (
+    MAX_FILE_BYTES, SPLIT_BYTES, open_store, plan_reads, read_planned, reason_of,
+)
 
 EXTENSIONS = CODE_EXTENSIONS + DOC_EXTENSIONS
 
-_LISTED = "path string, is_folder boolean, n_bytes bigint, error string"
-_READ = "path string, ext string, ext_rank int, n_bytes bigint, data binary, error string"
+#: Names that a task holds while it lists a folder of this machine.
+PIECE_ROWS = 10_000
+_LISTED = "path string, is_folder boolean, n_bytes bigint, reason string, error string"
 
 _REPLACEMENT = "\ufffd"
 # Before bad bytes become U+FFFD and go, a genuine one is written as ESCAPE 1 and
@@ -49,38 +53,45 @@ def with_extension(files: DataFrame) -> DataFrame:
     return files.withColumn("ext", ext).withColumn("ext_rank", rank.cast("int"))
 
 
-def _store(root: str) -> tuple[fs.FileSystem, str]:
-    if "://" in root or root.startswith("file:"):
-        store, base = fs.FileSystem.from_uri(root)
-    else:
-        store, base = fs.FileSystem.from_uri(f"file://{fs_absolute(root)}")
-    return store, base.rstrip("/")
-
-
 def fs_absolute(root: str) -> str:
-    """A plain path of this machine as an absolute one."""
-    return os.path.abspath(root)
+    """A plain path of this machine as an absolute one; others as they are."""
+    return root if "://" in root or root.startswith("file:") else os.path.abspath(root)
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, is_folder, n_bytes, error) of everything under `root`, paths relative to it."""
-    root = root if "://" in root or root.startswith("file:") else fs_absolute(root)
+    """(path, is_folder, n_bytes, reason, error) of everything under `root`, paths relative to it.
+
+    Links to folders are not followed; a link that leads nowhere is a file without a size.
+    """
+    root = fs_absolute(root)
+
+    def entries(store: fs.FileSystem, place: str) -> Iterator[tuple[str, bool, int | None]]:
+        if not isinstance(store, fs.LocalFileSystem):
+            for info in store.get_file_info(fs.FileSelector(place)):
+                yield info.base_name, info.type == fs.FileType.Directory, info.size
+            return
+        with os.scandir(place) as found:
+            for entry in found:
+                if entry.is_dir(follow_symlinks=False):
+                    yield entry.name, True, None
+                elif not entry.is_dir():
+                    yield entry.name, False, entry.stat().st_size if os.path.exists(entry.path) else None
 
     def children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = _store(root)
+        store, base = open_store(root)
+        columns = ["path", "is_folder", "n_bytes", "reason", "error"]
         for batch in batches:
             rows = []
             for folder in batch["path"]:
-                place = f"{base}/{folder}".rstrip("/") or "/"
                 try:
-                    found = store.get_file_info(fs.FileSelector(place))
+                    for name, is_folder, size in entries(store, f"{base}/{folder}".rstrip("/") or "/"):
+                        rows.append((f"{folder}/{name}" if folder else name, is_folder, size, None, None))
+                        if len(rows) == PIECE_ROWS:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows = []
                 except OSError as error:
-                    rows.append((folder, False, None, str(error)))
-                    continue
-                for info in found:
-                    path = f"{folder}/{info.base_name}" if folder else info.base_name
-                    rows.append((path, info.type == fs.FileType.Directory, info.size, None))
-            yield pd.DataFrame(rows, columns=["path", "is_folder", "n_bytes", "error"])
+                    rows.append((folder, False, None, reason_of(error), str(error)))
+            yield pd.DataFrame(rows, columns=columns)
 
     level = spark.createDataFrame([("",)], "path string")
     levels = []
@@ -96,56 +107,44 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 def found_files(listing: DataFrame) -> DataFrame:
     """(path, ext, ext_rank, n_bytes) of the files of known extensions, without their content."""
-    files = with_extension(listing.filter("not is_folder and error is null"))
+    files = with_extension(listing.filter("not is_folder and reason is null"))
     return files.filter("ext_rank >= 0").select("path", "ext", "ext_rank", "n_bytes")
 
 
-def read_files(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
-    """`files` with `data`, their bytes, or an `error` where they cannot be read."""
-    root = root if "://" in root or root.startswith("file:") else fs_absolute(root)
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, base = _store(root)
-        for batch in batches:
-            part, size = [], 0
-            for row in batch.itertuples(index=False):
-                try:
-                    with store.open_input_stream(f"{base}/{row.path}") as stream:
-                        data, error = stream.read(), None
-                except OSError as problem:
-                    data, error = None, str(problem)
-                part.append((*row, data, error))
-                size += len(data or b"")
-                if size > 8 << 20:
-                    yield pd.DataFrame(part, columns=[*batch.columns, "data", "error"])
-                    part, size = [], 0
-            yield pd.DataFrame(part, columns=[*batch.columns, "data", "error"])
-
-    return files.select("path", "ext", "ext_rank", "n_bytes").mapInPandas(read, _READ)
+def read_files(
+    spark: SparkSession,
+    root: str,
+    files: DataFrame,
+    split_bytes: int = SPLIT_BYTES,
+    max_bytes: int = MAX_FILE_BYTES,
+) -> DataFrame:
+    """`files` with `data`, their bytes, or a `reason` and an `error` where they cannot be read."""
+    return read_planned(spark, fs_absolute(root), plan_reads(files, split_bytes, max_bytes), max_bytes)
 
 
-def scan_corpus(spark: SparkSession, root: str) -> DataFrame:
+def scan_corpus(spark: SparkSession, root: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
     """Files under `root` with a path relative to it; unreadable ones are skipped."""
-    files = read_files(spark, root, found_files(list_files(spark, root))).filter("error is null")
+    files = read_files(spark, root, found_files(list_files(spark, root)), max_bytes=max_bytes)
     content = decode_ignoring_errors(F.col("data")).alias("content")
-    return files.select("path", "ext", "ext_rank", "n_bytes", content)
+    return files.filter("reason is null").select("path", "ext", "ext_rank", "n_bytes", content)
 
 
-def skipped_files(spark: SparkSession, root: str) -> DataFrame:
-    """(path, error) of folders and files under `root` that cannot be read."""
+def skipped_files(spark: SparkSession, root: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """(path, reason, error) of folders and files under `root` that cannot be read or are too large."""
     listing = list_files(spark, root)
-    unread = read_files(spark, root, found_files(listing)).filter("error is not null")
-    return listing.filter("error is not null").select("path", "error").union(unread.select("path", "error"))
+    told = ["path", "reason", "error"]
+    unread = read_files(spark, root, found_files(listing), max_bytes=max_bytes).filter("reason is not null")
+    return listing.filter("reason is not null").select(*told).union(unread.select(*told))
 
 
-def scan_report(spark: SparkSession, root: str) -> DataFrame:
-    """Per extension: files found, bytes, files holding invalid UTF-8, and unreadable ones."""
-    files = read_files(spark, root, found_files(list_files(spark, root)))
+def scan_report(spark: SparkSession, root: str, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """Per extension: files found, bytes, files holding invalid UTF-8, and those that are skipped."""
+    files = read_files(spark, root, found_files(list_files(spark, root)), max_bytes=max_bytes)
     return files.groupBy("ext").agg(
         F.count("*").alias("n_files"),
         F.sum("n_bytes").alias("n_bytes"),
         F.count_if(~F.is_valid_utf8(F.col("data").cast("string"))).alias("n_invalid_text"),
-        F.count("error").alias("n_skipped"),
+        F.count("reason").alias("n_skipped"),
     )
 
 

@@ -17,6 +17,7 @@ NL = "chr(10)"
 QUOTE = "chr(39)"
 FENCE = "repeat(chr(96), 3)"
 P = "CAST(p_partkey AS STRING)"
+P_FAMILY = "CAST(p_partkey - p_partkey % 64 AS STRING)"
 
 
 def _lines(*parts: str) -> str:
@@ -120,6 +121,12 @@ LINT_AGAIN = "length(code) % 11 = 0"  # a second outcome: failed
 BAD_BYTES = b"\xff\xc3"
 HAS_BAD_BYTES = "path LIKE '%7.md'"
 
+# Beside these files stands a link of this ending that leads nowhere.
+HAS_LOST_TWIN = "path LIKE '%3.md'"
+LOST_END = ".lost.md"
+# Larger files are left out where a limit is asked for.
+MAX_BYTES = 12_000
+
 MARKED_RECORDS = """
   SELECT doc_id, concat(text, CASE WHEN doc_id % 10 = 3 THEN '<|endofdoc|>' ELSE '' END) AS content
   FROM documents"""
@@ -127,6 +134,19 @@ MARKED_RECORDS = """
 RECORDS_FROM_DOCUMENTS = "SELECT doc_id, text AS content, source AS source_path, 'md_section' AS type FROM documents"
 
 
+# Families of 64 records whose texts drift: each is the one before it, moved on by
+# twelve characters, so that only neighbours in a row are near.
+_LONG = "concat(" + ", ".join(f"md5(concat({P_FAMILY}, '|{{}}'))".format(i) for i in range(44)) + ")"
+DRIFTING_RECORDS = f"""
+  SELECT p_partkey AS doc_id, substr({_LONG}, CAST(1 + 12 * (p_partkey % 64) AS INTEGER), 600) AS content,
+         concat('family', {P_FAMILY}) AS source_path
+  FROM part"""
+
+#: The batch in which a document comes.
+BATCH = "CAST(doc_id % 3 AS INTEGER)"
+BATCHED_RECORDS = f"SELECT doc_id, text AS content, {BATCH} AS batch FROM documents"
+
+
 def select(spark: SparkSession, folder: str, table: str, sql: str) -> DataFrame:
     """Run one of the selects above on a given table.
 
@@ -171,6 +191,14 @@ def document_records(spark: SparkSession, folder: str) -> DataFrame:
     return select(spark, folder, "documents", RECORDS_FROM_DOCUMENTS)
 
 
+def drifting_records(spark: SparkSession, folder: str) -> DataFrame:
+    return select(spark, folder, "part", DRIFTING_RECORDS)
+
+
+def batched_records(spark: SparkSession, folder: str) -> DataFrame:
+    return select(spark, folder, "documents", BATCHED_RECORDS)
+
+
 def marked_records(spark: SparkSession, folder: str) -> DataFrame:
     return select(spark, folder, "documents", MARKED_RECORDS)
 

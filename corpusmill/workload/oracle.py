@@ -93,6 +93,11 @@ DOCUMENTS = f"docs AS ({d.RECORDS_FROM_DOCUMENTS})"
 NUMBERED = (
     "docs AS (SELECT row_number() OVER (ORDER BY ext_rank, source_path, pos) AS doc_id, * FROM records{0})"
 )
+# Documents in the order of their batches, then of their ids.
+BATCHED = (
+    "docs AS (SELECT row_number() OVER (ORDER BY batch, doc_id) AS doc_id, doc_id AS own_id, content, batch"
+    f" FROM ({d.BATCHED_RECORDS}))"
+)
 PAIRS = f"pairs_in AS ({d.PAIRS})"
 PREDICTIONS = f"predictions AS ({d.PREDICTIONS})"
 BENCHMARK = f"bench AS ({d.BENCHMARK})"
@@ -299,10 +304,13 @@ def statements() -> dict[str, str]:
         # sources
         "scan_corpus": q(FILES, select=f"SELECT * REPLACE ({_SIZE_ON_DISK} AS n_bytes) FROM files"),
         "scan_report": q(FILES, select=f"""
-            SELECT ext, count(*) AS n_files, CAST(sum({_SIZE_ON_DISK}) AS BIGINT) AS n_bytes,
-                   count(*) FILTER ({d.HAS_BAD_BYTES}) AS n_invalid_text, CAST(0 AS BIGINT) AS n_skipped
+            SELECT ext, count(*) + count(*) FILTER ({d.HAS_LOST_TWIN}) AS n_files,
+                   CAST(sum({_SIZE_ON_DISK}) AS BIGINT) AS n_bytes,
+                   count(*) FILTER ({d.HAS_BAD_BYTES}) AS n_invalid_text, count(*) FILTER ({d.HAS_LOST_TWIN}) AS n_skipped
             FROM files GROUP BY ext"""),
-        "skipped_files": q(FILES, select="SELECT path, ext AS error FROM files WHERE false"),
+        "skipped_files": q(FILES, select=f"""
+            SELECT path, 'too large' AS reason FROM files WHERE {_SIZE_ON_DISK} > {d.MAX_BYTES}
+            UNION ALL SELECT path || '{d.LOST_END}', 'not found' FROM files WHERE {d.HAS_LOST_TWIN}"""),
         "read_records": q(DOCUMENTS, select="SELECT doc_id, content, source_path, type FROM docs"),
         "write_records": q(*_RECORD_INPUTS, select=f"SELECT {record_columns} FROM records"),
         "repo_sizes": q(FILES, select="""
@@ -341,6 +349,15 @@ def statements() -> dict[str, str]:
             FROM docs d LEFT JOIN kept k USING (doc_id) GROUP BY ROLLUP (d.type)"""),
         "dedupe_code": q(*_RECORD_INPUTS, NUMBERED.format(" WHERE type <> 'md_section'"), SIGNATURES, GREEDY,
             select=f"SELECT {record_columns} FROM kept"),
+        "dedupe_chain": q(f"docs AS ({d.DRIFTING_RECORDS})", SIGNATURES, GREEDY,
+            select="SELECT doc_id, content, source_path FROM kept"),
+        "dedupe_batches": q(BATCHED, SIGNATURES, GREEDY, select="""
+            SELECT own_id AS doc_id, batch, CAST(length(content) AS INTEGER) AS n_chars FROM kept"""),
+        "dedupe_lookup": q(BATCHED, SIGNATURES, GREEDY, """near AS (
+            SELECT b.doc_id, min(k.doc_id) AS first FROM banded b JOIN banded k USING (bucket)
+            WHERE k.doc_id IN (SELECT doc_id FROM kept WHERE batch < 2) GROUP BY 1)""", select="""
+            SELECT late.own_id AS doc_id, 'batch' || early.batch AS batch, early.own_id AS near_id
+            FROM near JOIN docs late USING (doc_id) JOIN docs early ON early.doc_id = first WHERE late.batch = 2"""),
         "corpus_build": q(*_RECORD_INPUTS, NUMBERED.format(""), SIGNATURES, GREEDY,
             LABELED.replace("FROM records", "FROM kept"), select=f"""
             SELECT {record_columns}, domain, contains_assertion, contains_register_map, n_chars FROM labeled"""),

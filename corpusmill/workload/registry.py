@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from corpusmill.functions import minhash as sketch
 from corpusmill.functions import text
 from corpusmill.operators import dedupe as near
 from corpusmill.operators import label, lint, pairs, parse, prefs, score, split
+from corpusmill.operators.near_index import NearIndex
 from corpusmill.plans import corpus, scoring, tuning
 from corpusmill.runtime import materialize, scratch_path
 from corpusmill.sources import corpus_text, files, jsonl, results, seeds
@@ -63,8 +65,9 @@ def scan_report(spark, folder):
 
 @_register
 def skipped_files(spark, folder):
-    """None of the given files is unreadable; `tests/test_sources.py` has some that are."""
-    return files.skipped_files(spark, write_folder(derived.files(spark, folder)))
+    """Links that lead nowhere, and files beyond a limit."""
+    root = write_folder(derived.files(spark, folder))
+    return files.skipped_files(spark, root, derived.MAX_BYTES).select("path", "reason")
 
 
 @_register
@@ -180,6 +183,36 @@ def dedupe_code(spark, folder):
     return near.dedupe(_code_records(spark, folder), ["ext_rank", "source_path", "pos"])
 
 
+@_register
+def dedupe_chain(spark, folder):
+    """Records that drift: long chains, each near the next only; what three rounds leave is walked."""
+    return near.dedupe(derived.drifting_records(spark, folder), ["doc_id"], walk_rows=20_000)
+
+
+def _inserted(spark, folder, batches) -> tuple[NearIndex, list[DataFrame]]:
+    index = NearIndex(spark, scratch_path(spark, "near-index"))
+    records = derived.batched_records(spark, folder)
+    return index, [index.insert(records.filter(F.col("batch") == b), ["doc_id"], f"batch{b}") for b in batches]
+
+
+@_register
+def dedupe_batches(spark, folder):
+    """Batch by batch into a new index."""
+    index, kept = _inserted(spark, folder, range(3))
+    index.close()
+    return reduce(DataFrame.union, kept).select("doc_id", "batch", F.length("content").alias("n_chars"))
+
+
+@_register
+def dedupe_lookup(spark, folder):
+    """The last batch looked up in an index of the others."""
+    index, _ = _inserted(spark, folder, range(2))
+    late = derived.batched_records(spark, folder).filter("batch = 2")
+    found = materialize(index.lookup(late, ["doc_id"]), "lookup")
+    index.close()
+    return found.select("doc_id", "batch", F.col("key.doc_id").alias("near_id"))
+
+
 # ---- labels and raw-text corpus ---------------------------------------------
 @_register
 def label_domain(spark, folder):

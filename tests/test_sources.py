@@ -68,8 +68,44 @@ def test_what_cannot_be_read_is_told(spark, tree):
     gone = listing.filter("path = 'r2/n.md'").withColumn("path", F.lit("r2/gone.md"))
     read = files.read_files(spark, tree, listing.union(gone)).filter("error is not null")
     assert "r2/gone.md" in {r["path"] for r in read.collect()}
+    told = {r["path"]: r["reason"] for r in files.skipped_files(spark, tree, max_bytes=20).collect()}
+    assert told == {"r1/lost.md": "not found", "r1/a b.sv": "too large"}
+    assert files.scan_corpus(spark, tree).filter("path = 'r1/lost.md'").isEmpty()
     missing = files.skipped_files(spark, tree + "/none").collect()
-    assert [r["path"] for r in missing] == [""] and missing[0]["error"]
+    assert [(r["path"], r["reason"]) for r in missing] == [("", "not found")] and missing[0]["error"]
+
+
+def test_links_to_folders_are_not_followed(spark, tree):
+    os.symlink(tree, os.path.join(tree, "r1", "round.md"))
+    assert files.list_files(spark, tree).filter("path like '%round%'").isEmpty()
+
+
+def test_a_flat_folder_is_read_by_many_tasks(spark, tmp_path):
+    """One folder holds nearly all bytes, one file a third of them."""
+    for i in range(60):
+        (tmp_path / f"f{i:02d}.md").write_bytes(b"x" * (600_000 if i == 7 else 20_000))
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "a.sv").write_bytes(b"module")
+    listed = files.found_files(files.list_files(spark, str(tmp_path)))
+    read = files.read_files(spark, str(tmp_path), listed, split_bytes=300_000)
+    parts = read.select(F.spark_partition_id().alias("part"), "path", F.octet_length("data").alias("n"))
+    rows = parts.collect()
+    assert sorted(r["path"] for r in rows) == sorted(["deep/a.sv", *[f"f{i:02d}.md" for i in range(60)]])
+    by_part = {}
+    for r in rows:
+        by_part.setdefault(r["part"], []).append(r["n"])
+    assert len(by_part) >= 12 and all(sum(own) - max(own) <= 300_000 for own in by_part.values())
+
+
+def test_pieces_of_a_listing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "PIECE_ROWS", 7)
+    for i in range(40):
+        (tmp_path / f"{i}.md").write_text("x")
+    assert files.list_files(spark, str(tmp_path)).count() == 40
+    assert files.scan_corpus(spark, str(tmp_path)).count() == 40
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert files.scan_corpus(spark, str(empty)).count() == 0
 
 
 def test_scan_report_and_repositories(spark, tree):
