@@ -13,6 +13,7 @@ from corpusmill.fixed_values import (
     WORD,
     WS,
 )
+from corpusmill.functions.lexical import mask, spans
 from corpusmill.functions.text import strip
 from corpusmill.schemas import RAW_RECORDS
 
@@ -38,28 +39,54 @@ def _modules(text: Column) -> Column:
     return F.when(text.contains("endmodule"), found).otherwise(F.array().cast("array<string>"))
 
 
-def _pieces(text: Column) -> Column:
-    """Array of (heading, body): modules without heading, or what stands at and after headings."""
-    piece = lambda heading, body: F.struct(heading.alias("heading"), body.alias("body"))
+def _piece(heading: Column, body: Column, name: Column) -> Column:
+    return F.struct(heading.alias("heading"), body.alias("body"), name.alias("name"))
+
+
+def _masked_modules(text: Column) -> Column:
+    """Pieces of the modules whose first and last word stand in code."""
+    painted = F.when(text.contains("endmodule"), F.regexp_extract(mask(text), _TO_LAST_END, 0)).otherwise("")
+    head = rf"\Amodule{WS}+"
+
+    def piece(span: Column, code: Column) -> Column:
+        body, start = F.substring(text, span["start"], span["size"]), F.substring(code, span["start"], span["size"])
+        before, name = F.regexp_extract(start, head, 0), F.regexp_extract(start, rf"{head}({WORD}+)", 1)
+        own = F.substring(body, F.length(before) + 1, F.length(name))
+        return _piece(F.lit(None).cast("string"), body, F.ltrim(own, F.lit("\\")))
+
+    # An array of one element, so that the mask is painted once and not for each module.
+    each = F.transform(F.array(painted), lambda code: F.transform(spans(code, _MODULE), lambda span: piece(span, code)))
+    return F.get(each, F.lit(0))
+
+
+def _pieces(text: Column, masked: bool) -> Column:
+    """Array of (heading, body, name): modules without heading, or what stands at and after headings."""
     none = F.lit(None).cast("string")
     headings = F.concat(F.array(none), F.regexp_extract_all(text, F.lit(_HEADING), 1))
-    sections = F.zip_with(headings, F.split(text, _HEADING, -1), piece)
-    modules = F.transform(_modules(text), lambda module: piece(none, module))
+    sections = F.zip_with(headings, F.split(text, _HEADING, -1), lambda heading, body: _piece(heading, body, none))
+    if masked:
+        modules = _masked_modules(text)
+    else:
+        modules = F.transform(_modules(text), lambda m: _piece(none, m, F.regexp_extract(m, _MODULE_NAME, 1)))
     return F.when(_is_code(), modules).otherwise(sections)
 
 
-def raw_records(files: DataFrame) -> DataFrame:
+def raw_records(files: DataFrame, masked: bool = False) -> DataFrame:
     """All records of all files in one pass over the files.
 
     Code files give one row per module, or one whole-file row if there is none.
     Documentation gives the text before the first heading and one row per
     heading. (ext_rank, source_path, pos) is the total order of the records.
+
+    With `masked`, words in comments, strings and escaped names neither begin nor
+    end a module, and its name is the one after its first word, escaped or not.
     """
     text = F.col("content")
-    found = files.select("ext_rank", "ext", F.col("path").alias("source_path"), "content", _pieces(text).alias("pieces"))
+    found = files.select("ext_rank", "ext", F.col("path").alias("source_path"), "content", _pieces(text, masked).alias("pieces"))
     # Only a file without modules is carried along whole.
     is_whole = _is_code() & (F.size("pieces") == 0)
-    whole = F.array(F.struct(F.lit(None).cast("string").alias("heading"), strip(text).alias("body")))
+    none = F.lit(None).cast("string")
+    whole = F.array(_piece(none, strip(text), none))
     rows = found.select(
         "ext_rank",
         "ext",
@@ -79,7 +106,7 @@ def raw_records(files: DataFrame) -> DataFrame:
         .alias("type"),
         F.when(
             _is_code() & ~F.col("is_whole"),
-            F.nullif(F.regexp_extract(body, _MODULE_NAME, 1), F.lit("")),
+            F.nullif(F.col("piece.name"), F.lit("")),
         ).alias("module_name"),
         F.when(~_is_code(), heading).alias("title"),
         F.when(_is_code(), body).otherwise(section).alias("content"),
@@ -89,8 +116,8 @@ def raw_records(files: DataFrame) -> DataFrame:
     return records.filter(keep).select(RAW_RECORDS.fieldNames())
 
 
-def sv_modules(files: DataFrame) -> DataFrame:
-    return raw_records(files.filter(_is_code()))
+def sv_modules(files: DataFrame, masked: bool = False) -> DataFrame:
+    return raw_records(files.filter(_is_code()), masked)
 
 
 def md_sections(files: DataFrame) -> DataFrame:
