@@ -21,7 +21,7 @@ def parser() -> argparse.ArgumentParser:
         command.set_defaults(run=run)
         return command
 
-    stage("parse", stages.parse, "root", "out")
+    stage("parse", stages.parse, "root", "out").add_argument("--masked", action="store_true")
     dedupe = stage("dedupe", stages.remove_duplicates, "source", "out")
     for option in ("--index", "--batch"):
         dedupe.add_argument(option)
@@ -34,7 +34,7 @@ def parser() -> argparse.ArgumentParser:
     for option in ("--prompt-table", "--completions", "--lint-results"):
         pairs.add_argument(option)
     stage("blocks", stages.blocks, "source", "out")
-    stage("split", stages.split_pairs, "source", "out")
+    stage("split", stages.split_pairs, "source", "out").add_argument("--near", action="store_true")
     stage("preferences", stages.preferences, "source", "out")
     stage("evaluate", stages.evaluate, "benchmark", "predictions", "out").add_argument(
         "--lint-results"

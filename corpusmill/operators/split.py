@@ -5,6 +5,9 @@ train, the next 10% val, the rest test, counted exactly. Two boundary keys
 describe such a split completely, so once they are known every row finds its
 split by comparing its own hash: no join, and a source holding a third of all
 rows costs no more than any other.
+
+Sources whose pairs are near-copies of each other can be kept together: then the
+connected components of sources and band buckets are what is drawn and counted.
 """
 
 from __future__ import annotations
@@ -13,7 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill import fixed_values as fv
+from corpusmill.functions.minhash import band_keys, each_band_key, signature
+from corpusmill.operators.components import components
+from corpusmill.operators.dedupe import HOT_ROWS, leader_links, long_enough
 from corpusmill.operators.pairs import pair_key
+from corpusmill.runtime import materialize
 
 # 16^4 histogram bins: a fixed size however many keys there are.
 _BIN_CHARS = 4
@@ -117,6 +124,62 @@ def split_rows(pairs: DataFrame, seed: int = fv.SEED) -> DataFrame:
     )
 
 
+def _pair_text() -> Column:
+    return F.concat_ws("\n", "input", "output")
+
+
+def _bucketed(pairs: DataFrame, text: Column) -> DataFrame:
+    """(split_key, bucket) of all pairs whose text is worth signing."""
+    told = long_enough(pairs.select(split_key().alias("split_key"), text.alias("content")))
+    bands = told.select("split_key", band_keys(signature(F.col("content"))).alias("bands")).distinct()
+    return materialize(bands, "pair-bands").select("split_key", F.explode(each_band_key(F.col("bands"))).alias("bucket"))
+
+
+def near_groups(pairs: DataFrame, text: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(split_key, split_group): keys whose pairs share a band bucket, directly or by others, share a group.
+
+    A group is named by its least key. `text` is what is compared, by default
+    input and output of a pair.
+    """
+    told = _pair_text() if text is None else text
+    keys = pairs.select(split_key().alias("split_key")).distinct()
+    keys = materialize(keys.withColumn("id", F.monotonically_increasing_id()), "split-keys")
+    members = _bucketed(pairs, told).join(keys, "split_key").select(F.col("id").alias("__ord"), "bucket").distinct()
+    links = leader_links(materialize(members, "split-buckets"), hot_rows)
+    roots = components(links, "leader", "__ord")
+    rooted = keys.join(roots, keys["id"] == roots["node"], "left")
+    rooted = materialize(rooted.select("split_key", F.coalesce("root", "id").alias("root")), "split-roots")
+    names = rooted.groupBy("root").agg(F.min("split_key").alias("split_group"))
+    return rooted.join(names, "root").select("split_key", "split_group")
+
+
+def near_split_assign(
+    pairs: DataFrame, seed: int = fv.SEED, text: Column | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """(split_key, split_group, split) for every key: the cuts of `split_assign`, over groups."""
+    groups = materialize(near_groups(pairs, text, hot_rows), "split-groups")
+    named = groups.withColumnsRenamed({"split_key": "own_key", "split_group": "split_key"}).withColumn("draw", _draw(seed))
+    split = split_of(named.select("split_key", "draw").distinct())
+    return named.select(F.col("own_key").alias("split_key"), F.col("split_key").alias("split_group"), split.alias("split"))
+
+
+def near_split_rows(pairs: DataFrame, seed: int = fv.SEED, text: Column | None = None) -> DataFrame:
+    """Pairs with `split_key`, `split_group` and `split`; no two near pairs are in different splits."""
+    assigned = near_split_assign(pairs, seed, text)
+    return pairs.withColumn("split_key", split_key()).join(assigned, "split_key")
+
+
+def near_leak_check(rows: DataFrame, text: Column | None = None) -> DataFrame:
+    """Band buckets of split pairs, and buckets found in more than one split (zero after `near_split_rows`)."""
+    told = _pair_text() if text is None else text
+    signed = long_enough(rows.select("split", told.alias("content")))
+    bands = signed.select("split", F.explode(each_band_key(band_keys(signature(F.col("content"))))).alias("bucket"))
+    per_bucket = bands.groupBy("bucket").agg(F.min("split").alias("lo"), F.max("split").alias("hi"))
+    return per_bucket.agg(
+        F.count("*").alias("n_buckets"), F.count_if(F.col("lo") != F.col("hi")).alias("n_leaking")
+    )
+
+
 def split_stats(rows: DataFrame) -> DataFrame:
     """Rows per split, zero included, with a warning where val or test is empty."""
     counts = rows.groupBy("split").agg(F.count("*").alias("n_rows"))

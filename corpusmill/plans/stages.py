@@ -34,8 +34,8 @@ def _optional(spark: SparkSession, path: str | None, schema: schemas.StructType)
     return spark.createDataFrame([], schema) if table is None else table
 
 
-def parse(spark: SparkSession, root: str, out: str) -> DataFrame:
-    jsonl.write_records(raw_records(files.scan_corpus(spark, root)), out)
+def parse(spark: SparkSession, root: str, out: str, masked: bool = False) -> DataFrame:
+    jsonl.write_records(raw_records(files.scan_corpus(spark, root), masked), out)
     written = jsonl.read_records(spark, out, schemas.RAW_RECORDS)
     return written.groupBy("type").agg(F.count("*").alias("n_records"))
 
@@ -100,9 +100,10 @@ def blocks(spark: SparkSession, source: str, out: str) -> DataFrame:
     return table.agg(F.count("*").alias("n_blocks"))
 
 
-def split_pairs(spark: SparkSession, source: str, out: str) -> DataFrame:
-    """One folder per split, `split=train` and so on."""
-    rows = split.split_rows(jsonl.read_records(spark, source, schemas.PAIRS))
+def split_pairs(spark: SparkSession, source: str, out: str, near: bool = False) -> DataFrame:
+    """One folder per split, `split=train` and so on; with `near`, near-copies of other sources stay together."""
+    made = jsonl.read_records(spark, source, schemas.PAIRS)
+    rows = split.near_split_rows(made).drop("split_group") if near else split.split_rows(made)
     jsonl.write_records(rows, out, "split")
     return split.split_stats(jsonl.read_records(spark, out, SPLIT_PAIRS))
 

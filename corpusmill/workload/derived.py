@@ -60,6 +60,32 @@ CODE_FILES = f"""
          END AS content
   FROM part"""
 
+# Words that would begin or end a module, in comments, strings and escaped names.
+_BS, _DQ = "chr(92)", "chr(34)"
+_FORGED = (
+    _lines("'// module before; endmodule'"),
+    _lines("'/* module'", NL, "'endmodule */ wire a;'"),
+    _lines(f"'  initial $display(', {_DQ}, 'endmodule ', {_BS}, {_DQ}, ' // no comment endmodule', {_DQ}, ');'"),
+    _lines(f"'  wire ', {_BS}, 'endmodule ; // endmodule'"),
+    _lines(f"'  // ', {_DQ}, ' not a string'"),
+    _lines(f"'  string s = ', {_DQ}, 'open /* endmodule'"),
+    _lines("'  assign b = a / 2; /* endmodule **/'"),
+)
+
+
+def _forged(shift: int) -> str:
+    return f"CASE (p_partkey + {shift}) % 7 " + " ".join(f"WHEN {i} THEN {line}" for i, line in enumerate(_FORGED)) + " END"
+
+
+FORGED_FILES = f"""
+  SELECT concat('repo', CAST(p_partkey % 7 AS STRING), '/forged/m', {P}, '.sv') AS path,
+         concat({_forged(0)}, 'module /* module x; */ ',
+           CASE WHEN p_partkey % 5 = 0 THEN concat({_BS}, 'odd+endmodule') ELSE concat('m', {P}) END,
+           ' (input a);', {NL}, {_forged(1)}, {_forged(2)}, {_forged(3)}, 'endmodule', {NL}, {_forged(4)},
+           CASE WHEN p_partkey % 3 = 0 THEN {_module(1)} ELSE '' END, {_forged(5)},
+           CASE WHEN p_partkey % 11 = 0 THEN '/* module late; endmodule' ELSE '' END) AS content
+  FROM part"""
+
 # Some folders and files have names that scans often pass over, and some texts hold
 # noncharacters and a genuine replacement character.
 DOC_FILES = f"""
@@ -92,6 +118,13 @@ PAIRS = f"""
              CAST(CAST((p_partkey - p_partkey % 5) / 5 AS BIGINT) AS STRING), '.sv') END AS source_path
   FROM part"""
 
+# Pairs about documents, of which many are near-copies of others from other sources.
+DOCUMENT_PAIRS = """
+  SELECT doc_id AS pair_id, 'rtl_explanation' AS task_type, 'Explain.' AS instruction, text AS input, lang AS output,
+         CASE WHEN doc_id % 7 = 0 THEN NULL
+              ELSE concat(source, '/f', CAST(doc_id % 100 - doc_id % 4 AS STRING)) END AS source_path
+  FROM documents"""
+
 # The user turn asks, the next assistant turn answers; unanswered calls have no row.
 PREDICTIONS = f"""
   SELECT role AS tag, conv_id % 40 AS item_id,
@@ -162,6 +195,10 @@ def code_files(spark: SparkSession, folder: str) -> DataFrame:
     return _as_files(select(spark, folder, "part", CODE_FILES))
 
 
+def forged_files(spark: SparkSession, folder: str) -> DataFrame:
+    return _as_files(select(spark, folder, "part", FORGED_FILES))
+
+
 def doc_files(spark: SparkSession, folder: str) -> DataFrame:
     return _as_files(select(spark, folder, "documents", DOC_FILES))
 
@@ -179,6 +216,10 @@ def pairs(spark: SparkSession, folder: str) -> DataFrame:
     return select(spark, folder, "part", PAIRS)
 
 
+def document_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return select(spark, folder, "documents", DOCUMENT_PAIRS)
+
+
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
     return select(spark, folder, "conversations", PREDICTIONS)
 

@@ -77,6 +77,32 @@ records AS (
          CASE WHEN title IS NULL THEN body WHEN body = '' THEN title ELSE title || chr(10) || chr(10) || body END
   FROM doc_rows WHERE title IS NOT NULL OR body <> '')"""
 
+_LEXEMES = r'//[^\n]*|/\*(?s:.*?)(?:\*/|\z)|"(?:\\(?s:.)|[^"\\\n])*"?|\\\S+'
+_MASKED_MODULE = r"(?s)\bmodule\s+\w+.*?\bendmodule\b"
+MASKED = rf"""files AS (SELECT path, content FROM ({d.FORGED_FILES})),
+painted AS (
+  SELECT path, content, array_to_string(list_transform(
+           list_zip(regexp_split_to_array(content, '{_LEXEMES}'), regexp_extract_all(content, '{_LEXEMES}')),
+           lambda x: x[1] || repeat(CASE WHEN starts_with(x[2], '/') THEN ' ' WHEN starts_with(x[2], '"') THEN '"' ELSE '_' END,
+                                    coalesce(length(x[2]), 0))), '') AS code
+  FROM files),
+pieces AS (
+  SELECT path, content, code, unnest(regexp_extract_all(code, '{_MASKED_MODULE}')) AS found,
+         unnest(regexp_split_to_array(code, '{_MASKED_MODULE}')) AS gap,
+         generate_subscripts(regexp_split_to_array(code, '{_MASKED_MODULE}'), 1) AS k
+  FROM painted),
+placed AS (
+  SELECT *, length(found) AS size, sum(length(gap) + coalesce(length(found), 0)) OVER (PARTITION BY path ORDER BY k)
+           - coalesce(length(found), 0) + 1 AS start FROM pieces),
+records AS (
+  SELECT path, k - 1 AS pos, 'sv_module' AS type,
+         ltrim(substr(substr(content, CAST(start AS BIGINT), size), length(regexp_extract(found, '^module\s+')) + 1,
+                      length(regexp_extract(found, '^module\s+(\w+)', 1))), chr(92)) AS module_name,
+         substr(content, CAST(start AS BIGINT), size) AS content
+  FROM placed WHERE found IS NOT NULL
+  UNION ALL
+  SELECT path, 0, 'sv_file', NULL, {_strip('content')} FROM placed WHERE k = 1 AND found IS NULL)"""
+
 LABELED = """labeled AS (
   SELECT *,
          CASE WHEN contains(content, 'uvm_component') OR contains(content, 'uvm_sequence')
@@ -288,6 +314,27 @@ results AS (
          CASE WHEN task_type IN ('sva_assertion_generation', 'rtl_bug_finding') THEN coalesce(ok, false) END AS compiles
   FROM rouge LEFT JOIN lint ON code_sha = sha256({_first_code('prediction')}))"""
 
+# Keys that share a bucket, by the least key of the bucket, and what that reaches.
+NEAR_SPLIT = SPLIT + """,
+docs AS (SELECT pair_id AS doc_id, input || chr(10) || output AS content, split_key, split FROM split_pairs)"""
+NEAR_GROUPS = """key_buckets AS (SELECT DISTINCT split_key, bucket FROM banded JOIN docs USING (doc_id)),
+stars AS (SELECT DISTINCT split_key AS a, min(split_key) OVER (PARTITION BY bucket) AS b FROM key_buckets),
+links AS (SELECT a, b FROM stars WHERE a <> b UNION SELECT b, a FROM stars WHERE a <> b),
+reach AS (
+  SELECT DISTINCT split_key, split_key AS other FROM docs
+  UNION SELECT r.split_key, l.b FROM reach r JOIN links l ON l.a = r.other),
+groups AS (SELECT split_key, min(other) AS split_group FROM reach GROUP BY 1),
+ranked_groups AS (
+  SELECT split_group, row_number() OVER (ORDER BY md5('42|' || split_group), split_group) - 1 AS place,
+         count(*) OVER () AS n FROM (SELECT DISTINCT split_group FROM groups)),
+near_assigned AS (
+  SELECT split_key, split_group,
+         CASE WHEN place < greatest(1, floor(n * CAST(0.8 AS DOUBLE))) THEN 'train'
+              WHEN place < greatest(1, floor(n * CAST(0.8 AS DOUBLE)))
+                + CASE WHEN n > 2 THEN greatest(1, floor(n * CAST(0.1 AS DOUBLE))) ELSE 0 END THEN 'val'
+              ELSE 'test' END AS split
+  FROM groups JOIN ranked_groups USING (split_group))"""
+
 _RECORD_INPUTS = (FILES, RECORDS)
 _DEDUPED = (DOCUMENTS, SIGNATURES, GREEDY)
 _SCORING = (PREDICTIONS, BENCHMARK, SCORED)
@@ -325,6 +372,9 @@ def statements() -> dict[str, str]:
             FROM (VALUES ('train'), ('val'), ('holdout')) n(name) LEFT JOIN split_pairs ON split = name GROUP BY name"""),
         # parsing
         "sv_modules": q(*_RECORD_INPUTS, select=f"SELECT {record_columns} FROM records WHERE type <> 'md_section'"),
+        "sv_modules_masked": q(MASKED, select="""
+            SELECT 0 AS ext_rank, path AS source_path, CAST(pos AS INTEGER) AS pos, type, module_name,
+                   CAST(NULL AS VARCHAR) AS title, content FROM records"""),
         "md_sections": q(*_RECORD_INPUTS, select=f"SELECT {record_columns} FROM records WHERE type = 'md_section'"),
         "raw_records": q(*_RECORD_INPUTS, select=f"SELECT {record_columns} FROM records"),
         # near-duplicates
@@ -415,6 +465,13 @@ def statements() -> dict[str, str]:
             FROM (VALUES ('train'), ('val'), ('test')) n(name) LEFT JOIN split_pairs ON split = name GROUP BY name"""),
         "split_leak_check": q(PAIRS, SPLIT, "per AS (SELECT split_key, count(DISTINCT split) AS k FROM split_pairs GROUP BY 1)",
             select="SELECT count(*) AS n_keys, count(*) FILTER (k > 1) AS n_leaking FROM per"),
+        "near_split_assign": q(f"pairs_in AS ({d.DOCUMENT_PAIRS})", NEAR_SPLIT, SIGNATURES, NEAR_GROUPS,
+            select="SELECT split_key, split_group, split FROM near_assigned"),
+        "near_split_leak_check": q(f"pairs_in AS ({d.DOCUMENT_PAIRS})", NEAR_SPLIT, SIGNATURES, NEAR_GROUPS, """per AS (
+            SELECT bucket, count(DISTINCT docs.split) AS s, count(DISTINCT n.split) AS g
+            FROM banded JOIN docs USING (doc_id) JOIN near_assigned n USING (split_key) GROUP BY 1)""", select="""
+            SELECT 'sources' AS kept_together, count(*) AS n_buckets, max(s) > 1 AS leaks FROM per
+            UNION ALL SELECT 'near copies', count(*), max(g) > 1 FROM per"""),
         "tuning_build": q(*_RECORD_INPUTS, BUG_PAIRS, f"""pairs_in AS (
             SELECT *, 'not_applicable' AS lint_status FROM bugs UNION ALL
             SELECT t, i, n, o, 'verified_hand_written_seed', NULL, NULL, 'not_applicable'

@@ -113,6 +113,12 @@ def sv_modules(spark, folder):
     return parse.sv_modules(derived.files(spark, folder))
 
 
+@_register
+def sv_modules_masked(spark, folder):
+    """Files full of words that would begin or end a module, were they not in comments and strings."""
+    return parse.sv_modules(derived.forged_files(spark, folder), masked=True)
+
+
 @_register
 def md_sections(spark, folder):
     return parse.md_sections(derived.files(spark, folder))
@@ -393,6 +399,22 @@ def split_leak_check(spark, folder):
     return split.split_leak_check(split.split_rows(derived.pairs(spark, folder)))
 
 
+@_register
+def near_split_assign(spark, folder):
+    return split.near_split_assign(derived.document_pairs(spark, folder))
+
+
+@_register
+def near_split_leak_check(spark, folder):
+    """Near pairs in different splits: none when groups are kept together, some when sources only are."""
+    pairs_in = derived.document_pairs(spark, folder)
+    checks = [
+        split.near_leak_check(rows).select(F.lit(name).alias("kept_together"), "n_buckets", F.col("n_leaking") > 0)
+        for name, rows in (("sources", split.split_rows(pairs_in)), ("near copies", split.near_split_rows(pairs_in)))
+    ]
+    return reduce(DataFrame.union, checks).toDF("kept_together", "n_buckets", "leaks")
+
+
 # ---- preferences and training views -----------------------------------------
 def _train(spark, folder) -> DataFrame:
     return split.split_rows(derived.pairs(spark, folder)).filter(F.col("split") == "train")
