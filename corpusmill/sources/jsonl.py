@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from corpusmill.sources.publish import exists, publish
+
 
 def read_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Fields a record lacks become null; unknown fields are not read.
@@ -18,28 +20,23 @@ def read_records(spark: SparkSession, path: str, schema: StructType) -> DataFram
 def write_records(
     records: DataFrame, path: str, *partition_by: str, keep_others: bool = False
 ) -> None:
-    """Overwrite `path`; null fields are written out.
+    """Replace the table at `path` once the new one is whole; null fields are written out.
 
     With `keep_others` only the partitions that `records` holds are replaced.
     """
-    writer = records.write.mode("overwrite").option("ignoreNullFields", "false")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if keep_others:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.json(path)
 
+    def write(place: str) -> None:
+        writer = records.write.option("ignoreNullFields", "false")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.json(place)
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Metadata lookup on whatever file system `path` is on."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+    publish(records.sparkSession, path, write, per_partition=keep_others)
 
 
 def read_optional(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """The table if it exists and has a row, else None (e.g. no validation split)."""
-    if not path_exists(spark, path):
+    if not exists(spark, path):
         return None
     table = read_records(spark, path, schema)
     return None if table.isEmpty() else table
