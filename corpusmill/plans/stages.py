@@ -18,6 +18,7 @@ from corpusmill.plans.corpus import RECORD_ORDER
 from corpusmill.plans.scoring import score_predictions
 from corpusmill.runtime import materialize
 from corpusmill.sources import corpus_text, files, jsonl, results, seeds
+from corpusmill.sources.ordered_corpus import write_ordered
 
 SPLIT_PAIRS = schemas.StructType(schemas.PAIRS.fields).add("split_key", "string").add("split", "string")
 PROMPTS = schemas.StructType(schemas.CHUNKS_LABELED.fields).add("prompt", "string").add(
@@ -60,7 +61,7 @@ def add_labels(spark: SparkSession, source: str, out: str) -> DataFrame:
 
 def corpus(spark: SparkSession, source: str, out: str) -> DataFrame:
     chunks = jsonl.read_records(spark, source, schemas.CHUNKS_LABELED)
-    corpus_text.write_corpus(corpus_text.cpt_docs(chunks), out)
+    write_ordered(corpus_text.cpt_docs(chunks), out, RECORD_ORDER)
     return corpus_text.cpt_stats(chunks)
 
 

@@ -221,14 +221,23 @@ CANDIDATES = f"""eligible AS (
 prompts AS (
   SELECT *, {_quote(fv.EXPLAIN_PROMPT_HEAD)} || content || {_quote(fv.EXPLAIN_PROMPT_TAIL)} AS prompt FROM eligible),
 keyed AS (SELECT *, sha256(concat_ws(chr(1), {_RECORD_KEY}, prompt)) AS prompt_key FROM prompts)"""
-COMPLETIONS = """completions AS (
-  SELECT prompt_key, CASE WHEN length(prompt) % 5 = 0 THEN 'Another answer.'
-           ELSE 'It is ' || length(prompt) || ' long.' END AS completion
+def _generated(completion: str) -> str:
+    return f"""completions AS (
+  SELECT prompt_key, {completion} AS completion
   FROM keyed WHERE length(prompt) % 3 > 0),
 generated AS (
-  SELECT 'rtl_explanation' AS task_type, {instruction} AS instruction, content AS input, completion AS output,
-         'llm_augmented' AS source, source_path
-  FROM keyed JOIN completions USING (prompt_key))""".format(instruction=_quote(fv.EXPLAIN_INSTRUCTION))
+  SELECT 'rtl_explanation' AS task_type, {_quote(fv.EXPLAIN_INSTRUCTION)} AS instruction, content AS input,
+         completion AS output, 'llm_augmented' AS source, source_path
+  FROM keyed JOIN completions USING (prompt_key))"""
+
+
+COMPLETIONS = _generated(
+    "CASE WHEN length(prompt) % 5 = 0 THEN 'Another answer.' ELSE 'It is ' || length(prompt) || ' long.' END"
+)
+ANSWERS_WITH_CODE = _generated(
+    "'It is ' || length(prompt) || ' long.' || CASE WHEN length(prompt) % 2 = 0 THEN concat(chr(10), "
+    "'```systemverilog', chr(10), 'wire w', repeat('x', length(prompt) % 6), ';', chr(10), '```') ELSE '' END"
+)
 
 _SEEDS = ", ".join("(" + ", ".join(map(_quote, row)) + ")" for row in DEFAULT_SEEDS)
 
@@ -411,6 +420,9 @@ def statements() -> dict[str, str]:
         "corpus_build": q(*_RECORD_INPUTS, NUMBERED.format(""), SIGNATURES, GREEDY,
             LABELED.replace("FROM records", "FROM kept"), select=f"""
             SELECT {record_columns}, domain, contains_assertion, contains_register_map, n_chars FROM labeled"""),
+        "corpus_text_build": q(*_RECORD_INPUTS, NUMBERED.format(""), SIGNATURES, GREEDY, select=f"""
+            SELECT row_number() OVER (ORDER BY ext_rank, source_path, pos) - 1 AS place, {_strip('content')} AS content
+            FROM kept WHERE length({_strip('content')}) >= 30"""),
         "kept_by_source": q(*_DEDUPED, select="""
             SELECT source_path, count(*) AS n_docs, CAST(sum(length(content)) AS BIGINT) AS n_chars
             FROM kept GROUP BY source_path"""),
@@ -424,6 +436,9 @@ def statements() -> dict[str, str]:
                    CAST(sum(n_chars) AS BIGINT) AS sum_chars FROM labeled GROUP BY domain"""),
         "cpt_docs": q(DOCUMENTS, select=f"SELECT doc_id, {_strip('content')} AS content FROM docs WHERE length({_strip('content')}) >= 30"),
         "cpt_sink": q(DOCUMENTS, select=f"SELECT {_strip('content')} AS content FROM docs WHERE length({_strip('content')}) >= 30"),
+        "cpt_sink_ordered": q(DOCUMENTS, select=f"""
+            SELECT row_number() OVER (ORDER BY doc_id) - 1 AS place, {_strip('content')} AS content
+            FROM docs WHERE length({_strip('content')}) >= 30"""),
         "cpt_reload": q(DOCUMENTS, select=f"SELECT {_strip('content')} AS content FROM docs WHERE length({_strip('content')}) > 30"),
         "cpt_stats": q(DOCUMENTS, f"t AS (SELECT length({_strip('content')}) AS n FROM docs)", select="""
             SELECT count(*) AS candidate_docs, count(*) FILTER (n >= 30) AS kept_docs,
@@ -472,10 +487,13 @@ def statements() -> dict[str, str]:
             FROM banded JOIN docs USING (doc_id) JOIN near_assigned n USING (split_key) GROUP BY 1)""", select="""
             SELECT 'sources' AS kept_together, count(*) AS n_buckets, max(s) > 1 AS leaks FROM per
             UNION ALL SELECT 'near copies', count(*), max(g) > 1 FROM per"""),
-        "tuning_build": q(*_RECORD_INPUTS, BUG_PAIRS, f"""pairs_in AS (
-            SELECT *, 'not_applicable' AS lint_status FROM bugs UNION ALL
-            SELECT t, i, n, o, 'verified_hand_written_seed', NULL, NULL, 'not_applicable'
-            FROM (VALUES {_SEEDS}) seeds(t, i, n, o))""", SPLIT, select="""
+        "tuning_build": q(*_RECORD_INPUTS, BUG_PAIRS, CANDIDATES, ANSWERS_WITH_CODE, f"""made AS (
+            SELECT *, sha256(concat_ws(chr(1), task_type, instruction, input, output)) AS pair_id FROM (
+              SELECT * FROM bugs UNION ALL
+              SELECT t, i, n, o, 'verified_hand_written_seed', NULL, NULL FROM (VALUES {_SEEDS}) seeds(t, i, n, o)
+              UNION ALL SELECT *, NULL FROM generated))""",
+            LINT.replace("pairs_in", "made").replace(_VERIFY, f"{_VERIFY}, 'rtl_explanation'"),
+            "pairs_in AS (SELECT * EXCLUDE (pair_id) FROM linted WHERE lint_status <> 'verified_fail')", SPLIT, select="""
             SELECT task_type, instruction, input, output, source, source_path, transform_applied, lint_status,
                    split_key, split FROM split_pairs"""),
         # preferences and training views

@@ -17,7 +17,7 @@ from corpusmill.operators import label, lint, pairs, parse, prefs, score, split
 from corpusmill.operators.near_index import NearIndex
 from corpusmill.plans import corpus, scoring, tuning
 from corpusmill.runtime import materialize, scratch_path
-from corpusmill.sources import corpus_text, files, jsonl, results, seeds
+from corpusmill.sources import corpus_text, files, jsonl, ordered_corpus, results, seeds
 from corpusmill.workload import derived
 from corpusmill.workload.corpus_folder import write_folder
 
@@ -256,6 +256,15 @@ def cpt_sink(spark, folder):
     return docs.withColumnRenamed("value", "content")
 
 
+@_register
+def cpt_sink_ordered(spark, folder):
+    """Documents and their places, as the shards hold them in the order of the manifest."""
+    path = scratch_path(spark, "corpus-ordered")
+    docs = corpus_text.cpt_docs(derived.document_records(spark, folder))
+    ordered_corpus.write_ordered(docs, path, ["doc_id"], shard_bytes=1 << 20)
+    return ordered_corpus.read_ordered(spark, path)
+
+
 @_register
 def cpt_reload(spark, folder):
     return corpus_text.read_corpus(spark, _written_corpus(spark, folder))
@@ -529,8 +538,29 @@ def corpus_build(spark, folder):
     return corpus.build_chunks(derived.files(spark, folder))
 
 
+@_register
+def corpus_text_build(spark, folder):
+    """A folder of files to the raw-text corpus, read again in its order."""
+    path = scratch_path(spark, "corpus-text")
+    corpus.build_corpus(spark, write_folder(derived.files(spark, folder)), path)
+    return ordered_corpus.read_ordered(spark, path)
+
+
+def _answers_with_code(prompts: DataFrame) -> DataFrame:
+    """Stand-in completions: every third prompt length failed, every second answer holds a block."""
+    n = F.length("prompt")
+    block = F.concat(F.lit("\n```systemverilog\nwire w"), F.repeat(F.lit("x"), n % 6), F.lit(";\n```"))
+    answer = F.concat(F.lit("It is "), n.cast("string"), F.lit(" long."), F.when(n % 2 == 0, block).otherwise(""))
+    return prompts.filter(n % 3 > 0).select("prompt_key", answer.alias("completion"))
+
+
 @_register
 def tuning_build(spark, folder):
-    """Chunks to split pairs, with seeds."""
+    """Chunks to split pairs: edits, seeds and completions, linted, failed ones dropped."""
     chunks = label.label_chunks(_records(spark, folder))
-    return tuning.build_pairs(chunks, _record_key(), seeds.seed_pairs(spark))
+    prompts = pairs.gen_prompts(pairs.gen_eligible(chunks), _record_key())
+    generated = materialize(pairs.gen_ingest(prompts, _answers_with_code(prompts)), "generated")
+    verified, seeded = (*_VERIFIED, fv.TASK_EXPLAIN), seeds.seed_pairs(spark)
+    answers = pairs.pairs_union(generated, seeded).withColumn("pair_id", pairs.pair_key())
+    outcomes = derived.lint_results(lint.blocks_to_check(answers, verified))
+    return tuning.build_pairs(chunks, _record_key(), seeded, generated, outcomes, verified)
