@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 
 from corpusmill import schemas
 from corpusmill.operators import lint, pairs, prefs, score, split
-from corpusmill.operators.dedupe import dedupe, dedupe_stats
-from corpusmill.operators.label import label_chunks, label_stats
 from corpusmill.operators.near_index import NearIndex
 from corpusmill.operators.parse import raw_records
+from corpusmill.plans import observed
 from corpusmill.plans.corpus import RECORD_ORDER
 from corpusmill.plans.scoring import score_predictions
 from corpusmill.runtime import materialize
-from corpusmill.sources import corpus_text, files, jsonl, results, seeds
-from corpusmill.sources.ordered_corpus import write_ordered
+from corpusmill.sources import files, jsonl, results, seeds
 
 SPLIT_PAIRS = schemas.StructType(schemas.PAIRS.fields).add("split_key", "string").add("split", "string")
 PROMPTS = schemas.StructType(schemas.CHUNKS_LABELED.fields).add("prompt", "string").add(
@@ -26,6 +24,10 @@ PROMPTS = schemas.StructType(schemas.CHUNKS_LABELED.fields).add("prompt", "strin
 )
 
 
+def _to(out: str) -> observed.Write:
+    return lambda rows: jsonl.write_records(rows, out)
+
+
 def record_key() -> Column:
     return F.concat_ws("#", "source_path", F.col("pos").cast("string"))
 
@@ -36,9 +38,7 @@ def _optional(spark: SparkSession, path: str | None, schema: schemas.StructType)
 
 
 def parse(spark: SparkSession, root: str, out: str, masked: bool = False) -> DataFrame:
-    jsonl.write_records(raw_records(files.scan_corpus(spark, root), masked), out)
-    written = jsonl.read_records(spark, out, schemas.RAW_RECORDS)
-    return written.groupBy("type").agg(F.count("*").alias("n_records"))
+    return observed.parse_counts(raw_records(files.scan_corpus(spark, root), masked), _to(out))
 
 
 def remove_duplicates(
@@ -46,23 +46,20 @@ def remove_duplicates(
 ) -> DataFrame:
     """With an index, also against the batches before; the batch is named by its source unless told."""
     records = jsonl.read_records(spark, source, schemas.RAW_RECORDS)
-    if index:
-        kept = NearIndex(spark, index).insert(records, RECORD_ORDER, batch or source)
-    else:
-        kept = dedupe(records, RECORD_ORDER)
-    jsonl.write_records(kept, out)
-    return dedupe_stats(records, jsonl.read_records(spark, out, schemas.RAW_RECORDS))
+    if not index:
+        return observed.dedupe_counts(records, RECORD_ORDER, _to(out))
+    kept = NearIndex(spark, index).insert(records, RECORD_ORDER, batch or source)
+    keys = materialize(kept.select(*RECORD_ORDER), "kept-keys")
+    return observed.kept_counts(records, lambda rows: rows.join(keys, list(RECORD_ORDER), "left_semi"), _to(out))
 
 
 def add_labels(spark: SparkSession, source: str, out: str) -> DataFrame:
-    jsonl.write_records(label_chunks(jsonl.read_records(spark, source, schemas.RAW_RECORDS)), out)
-    return label_stats(jsonl.read_records(spark, out, schemas.CHUNKS_LABELED))
+    return observed.label_counts(jsonl.read_records(spark, source, schemas.RAW_RECORDS), _to(out))
 
 
 def corpus(spark: SparkSession, source: str, out: str) -> DataFrame:
     chunks = jsonl.read_records(spark, source, schemas.CHUNKS_LABELED)
-    write_ordered(corpus_text.cpt_docs(chunks), out, RECORD_ORDER)
-    return corpus_text.cpt_stats(chunks)
+    return observed.corpus_counts(chunks, out, RECORD_ORDER)
 
 
 def prompts(spark: SparkSession, source: str, out: str, n: int) -> DataFrame:
@@ -88,9 +85,7 @@ def make_pairs(
         pairs.bug_pairs(chunks, record_key()), seeds.seed_pairs(spark), generated
     ).withColumn("pair_id", pairs.pair_key())
     linted = lint.lint_status(made, _optional(spark, lint_results, schemas.LINT_RESULTS))
-    linted = materialize(linted, "linted")  # for the pairs and for the counts
-    jsonl.write_records(lint.lint_filter(linted).select(schemas.PAIRS.fieldNames()), out)
-    return lint.lint_stats(linted)
+    return observed.lint_counts(linted, lambda kept: jsonl.write_records(kept.select(schemas.PAIRS.fieldNames()), out))
 
 
 def blocks(spark: SparkSession, source: str, out: str) -> DataFrame:
@@ -105,8 +100,7 @@ def split_pairs(spark: SparkSession, source: str, out: str, near: bool = False)
     """One folder per split, `split=train` and so on; with `near`, near-copies of other sources stay together."""
     made = jsonl.read_records(spark, source, schemas.PAIRS)
     rows = split.near_split_rows(made).drop("split_group") if near else split.split_rows(made)
-    jsonl.write_records(rows, out, "split")
-    return split.split_stats(jsonl.read_records(spark, out, SPLIT_PAIRS))
+    return observed.split_counts(rows, lambda made: jsonl.write_records(made, out, "split"))
 
 
 def preferences(spark: SparkSession, source: str, out: str) -> DataFrame:

@@ -423,6 +423,24 @@ def statements() -> dict[str, str]:
         "corpus_text_build": q(*_RECORD_INPUTS, NUMBERED.format(""), SIGNATURES, GREEDY, select=f"""
             SELECT row_number() OVER (ORDER BY ext_rank, source_path, pos) - 1 AS place, {_strip('content')} AS content
             FROM kept WHERE length({_strip('content')}) >= 30"""),
+        "written_counts": q(*_RECORD_INPUTS, NUMBERED.format(""), SIGNATURES, GREEDY, LABELED, PAIRS, LINT, SPLIT,
+            f"trimmed AS (SELECT length({_strip('content')}) AS n FROM records)", select="""
+            SELECT 'parse' AS stage, type AS of, 'n_records' AS what, count(*) AS n FROM records GROUP BY ALL
+            UNION ALL SELECT 'dedupe', coalesce(type, 'all'), 'n_in', count(*) FROM records GROUP BY ROLLUP (type)
+            UNION ALL SELECT 'dedupe', coalesce(r.type, 'all'), 'n_kept', count(k.type)
+              FROM docs r LEFT JOIN kept k USING (doc_id) GROUP BY ROLLUP (r.type)
+            UNION ALL SELECT 'label', domain, 'n_records', count(*) FROM labeled GROUP BY ALL
+            UNION ALL SELECT 'label', domain, 'n_with_assertion', count(*) FILTER (contains_assertion) FROM labeled GROUP BY ALL
+            UNION ALL SELECT 'label', domain, 'n_with_register_map', count(*) FILTER (contains_register_map) FROM labeled GROUP BY ALL
+            UNION ALL SELECT 'label', domain, 'sum_chars', CAST(sum(n_chars) AS BIGINT) FROM labeled GROUP BY ALL
+            UNION ALL SELECT 'corpus', 'all', 'candidate_docs', count(*) FROM trimmed
+            UNION ALL SELECT 'corpus', 'all', 'kept_docs', count(*) FROM trimmed WHERE n >= 30
+            UNION ALL SELECT 'corpus', 'all', 'kept_chars', CAST(sum(n) AS BIGINT) FROM trimmed WHERE n >= 30
+            UNION ALL SELECT 'lint', 'all', what, count(*) FROM linted JOIN (VALUES
+              ('n_pairs', NULL), ('n_passed', 'verified_pass'), ('n_failed', 'verified_fail'), ('n_dropped', 'verified_fail'),
+              ('n_skipped', 'not_applicable'), ('n_skipped', 'verilator_unavailable')) v(what, status)
+              ON status IS NULL OR status = lint_status GROUP BY what
+            UNION ALL SELECT 'split', split, 'n_rows', count(*) FROM split_pairs GROUP BY ALL"""),
         "kept_by_source": q(*_DEDUPED, select="""
             SELECT source_path, count(*) AS n_docs, CAST(sum(length(content)) AS BIGINT) AS n_chars
             FROM kept GROUP BY source_path"""),

@@ -15,7 +15,7 @@ from corpusmill.functions import text
 from corpusmill.operators import dedupe as near
 from corpusmill.operators import label, lint, pairs, parse, prefs, score, split
 from corpusmill.operators.near_index import NearIndex
-from corpusmill.plans import corpus, scoring, tuning
+from corpusmill.plans import corpus, observed, scoring, tuning
 from corpusmill.runtime import materialize, scratch_path
 from corpusmill.sources import corpus_text, files, jsonl, ordered_corpus, results, seeds
 from corpusmill.workload import derived
@@ -531,6 +531,32 @@ def reward(spark, folder):
     return score.reward(rows, outcomes, "output").select("pair_id", "reward")
 
 
+# ---- summaries counted while tables are written ----
+@_register
+def written_counts(spark, folder):
+    """The summaries of five stages over all records and pairs, one number a row."""
+    records, linted = materialize(_records(spark, folder), "records"), _linted(spark, folder)
+    order = corpus.RECORD_ORDER
+    labeled = materialize(label.label_chunks(records), "labeled")
+
+    def away(rows: DataFrame) -> None:
+        rows.write.format("noop").mode("overwrite").save()
+
+    told = [
+        ("parse", "type", observed.parse_counts(records, away)),
+        ("dedupe", "type", observed.dedupe_counts(records, order, away).drop("retained_pct")),
+        ("label", "domain", observed.label_counts(records, away)),
+        ("corpus", None, observed.corpus_counts(labeled, scratch_path(spark, "corpus"), order)),
+        ("lint", None, observed.lint_counts(linted, away)),
+        ("split", "split", observed.split_counts(split.split_rows(derived.pairs(spark, folder)), away).drop("warn_empty")),
+    ]
+    rows = [
+        (stage, row[group] if group else "all", name, row[name])
+        for stage, group, summary in told for row in summary.collect() for name in summary.columns if name != group
+    ]
+    return spark.createDataFrame(rows, "stage string, of string, what string, n bigint")
+
+
 # ---- whole flows ------------------------------------------------------------
 @_register
 def corpus_build(spark, folder):
