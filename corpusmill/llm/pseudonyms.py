@@ -8,7 +8,8 @@ and different values of a format never fall together.
 
 The permutation is a Feistel network over a list of symbols, each of an alphabet
 of its own size. Eight rounds add to the symbols at even or odd places, in turn,
-numbers drawn from a keyed SHA-512 of the others, modulo each alphabet. Check
+numbers drawn from a keyed SHA-512 of the others, modulo each alphabet. A single
+symbol has no others: it moves by a keyed number of places, never none. Check
 digits are not permuted but computed anew.
 """
 
@@ -23,8 +24,11 @@ from pyspark.sql import functions as F
 #: Stands for the key that a deployment keeps secret and passes in.
 EXAMPLE_KEY = "corpus-pseudonyms-1"
 ROUNDS = 8
-_FIRST_DAY = "1800-01-01"
-_DAYS = (189, 773)  # days of 400 years: a full cycle of the calendar
+#: Dates cover 400 years, a full cycle of the calendar. Those up to the 12th of a month
+#: (144 a year) and the others (12 a year less than its days) are permuted apart: a day
+#: whose number can be no month keeps such a number, and so a form that reads one way only.
+_FIRST_DAY, _YEARS = "1800-01-01", 400
+_EARLY_DAYS, _LATE_DAYS = (240, 240), (9, 9833)
 
 _EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w@])"
 _MARK = r"(?<=(?i:password=|token = \"))"
@@ -61,11 +65,11 @@ PATTERNS = {
     "ip": _BEFORE + r"\d{1,3}(?:\.\d{1,3}){3}" + _AFTER,
     "phone": r"(?<![\w@+])(?:(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[.-])[2-9]\d{2}[ .-]\d{4}"
     r"|\+[1-9]\d{0,2}(?:[ .-]?\(?\d{2,4}\)?){2,4})" + _AFTER,
-    # In groups only as printed on cards, so that a number before or after is not drawn in.
+    # In groups only as printed on cards; of more than four groups every run of four is tried.
     "card": _BEFORE
-    + r"(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})"
+    + r"(?:\d{13,19}|\d{4}(?: \d{4}){3,}+|\d{4}(?:-\d{4}){3,}+|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})"
     + _AFTER,
-    "secret": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)|" + _MARK + r"[0-9A-Fa-f]{16,64}(?!\w)",
+    "secret": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)|" + _MARK + r"[0-9A-Fa-f]{16,}+(?!\w)",
 }
 #: At each place that may begin an account number, before any check; they may overlap.
 _IBAN_LIKE = rf"(?<!\w)(?=({PATTERNS['iban']}))"
@@ -73,26 +77,32 @@ _IBAN_START = r"(?<!\w)[A-Z]{2}\d{2}[ A-Z0-9]"
 _KEPT = "[^A-Za-z0-9]"
 
 
-def permute(symbols: Column, sizes: Column, key: str, kind: str) -> Column:
-    """`symbols` (bigints, each below its size) under the keyed permutation of a kind."""
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once: an array of one element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def permute(symbols: Column, sizes: Column, key: str, kind: str, tweak: Column | None = None) -> Column:
+    """`symbols` (bigints, each below its size) under the keyed permutation of a kind and a tweak."""
+    named = F.lit(kind) if tweak is None else F.concat(F.lit(f"{kind}|"), tweak)
+    number = lambda digest, i: F.conv(F.substring(digest, i * 8 + 1, F.lit(8)), 16, 10).cast("bigint")
+    digest = lambda *told: F.sha2(F.concat_ws("|", F.lit(key), named, *told).cast("binary"), 512)
+
+    def alone(state: Column) -> Column:
+        step = number(digest(), F.lit(0))
+        moved = lambda x, i: F.pmod(x + 1 + step % F.greatest(F.lit(1), F.get(sizes, i) - 1), F.get(sizes, i))
+        return F.transform(state, moved)
 
     def one_round(state: Column, r: Column) -> Column:
         others = F.filter(state, lambda x, i: i % 2 != r % 2)
-        told = F.concat_ws("|", F.lit(key), F.lit(kind), r.cast("string"), F.array_join(others.cast("array<string>"), ","))
-        # An array of one element, so that the digest is computed once.
-        shifted = F.transform(
-            F.array(F.sha2(told.cast("binary"), 512)),
-            lambda digest: F.transform(
-                state,
-                lambda x, i: F.when(
-                    i % 2 == r % 2,
-                    F.pmod(x + F.conv(F.substring(digest, (i / 2).cast("int") % 16 * 8 + 1, F.lit(8)), 16, 10).cast("bigint"), F.get(sizes, i)),
-                ).otherwise(x),
-            ),
-        )
-        return F.get(shifted, F.lit(0))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), symbols, one_round)
+        told = digest(r.cast("string"), F.array_join(others.cast("array<string>"), ","))
+        moved = lambda drawn, x, i: F.pmod(x + number(drawn, (i / 2).cast("int") % 16), F.get(sizes, i))
+        return _let(told, lambda drawn: F.transform(state, lambda x, i: F.when(i % 2 == r % 2, moved(drawn, x, i)).otherwise(x)))
+
+    def network(state: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), state, one_round)
+
+    return _let(symbols, lambda state: F.when(F.size(state) == 1, alone(state)).otherwise(network(state)))
 
 
 def _characters(text: Column) -> Column:
@@ -125,10 +135,10 @@ def _refill(text: Column, fresh: Column) -> Column:
     )
 
 
-def _letters(text: Column, key: str, kind: str) -> Column:
+def _letters(text: Column, key: str, kind: str, tweak: Column | None = None) -> Column:
     """All letters and digits of a text permuted, case and separators kept."""
     plain = _characters(F.regexp_replace(text, _KEPT, ""))
-    changed = permute(F.transform(plain, _symbol), F.transform(plain, _size), key, kind)
+    changed = permute(F.transform(plain, _symbol), F.transform(plain, _size), key, kind, tweak)
     return _refill(text, F.zip_with(changed, plain, _written))
 
 
@@ -153,8 +163,30 @@ def _luhn(digits: Column) -> Column:
 def _card(text: Column, key: str) -> Column:
     """Numbers of 13 to 19 digits with a right check digit, in one piece or in groups of 4 4 4 4 or 4 6 5.
 
-    The first digit (the network) stays.
+    The first digit (the network) stays. Of a longer run of groups the leftmost four
+    that are a card are replaced, then the next behind them; the others stay.
     """
+    mark = F.when(text.contains("-"), "-").otherwise(" ")
+    groups = F.split(text, "[ -]")
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(0).alias("skip"))
+
+    def step(state: Column, i: Column) -> Column:
+        four = F.array_join(F.slice(groups, i, F.lit(4)), " ")
+        fresh = F.when((state["skip"] == 0) & (i + 3 <= F.size(groups)), _one_card(four, key))
+        none = F.array().cast("array<string>")
+
+        def after(card: Column) -> Column:
+            own = F.when(state["skip"] > 0, none).otherwise(F.array(F.coalesce(card, F.get(groups, i - 1))))
+            skip = F.when(card.isNotNull(), 3).otherwise(F.greatest(F.lit(0), state["skip"] - 1))
+            return F.struct(F.concat(state["done"], own).alias("done"), skip.alias("skip"))
+
+        return _let(fresh, after)
+
+    run = F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, step, lambda state: F.array_join(state["done"], " "))
+    return F.when(F.size(groups) > 4, F.replace(run, F.lit(" "), mark)).otherwise(_one_card(text, key))
+
+
+def _one_card(text: Column, key: str) -> Column:
     digits = _digits(text)
     body = F.slice(digits, F.lit(2), F.size(digits) - 2)
     first = F.slice(digits, 1, 1)
@@ -222,19 +254,49 @@ def _date(text: Column, key: str) -> Column:
         (r"^\d{2}-", "MM-dd-yyyy"),
         (r"^\d{2}-", "dd-MM-yyyy"),
     )
-    sizes = F.array(*[F.lit(n).cast("bigint") for n in _DAYS])
     tries = []
     for start, form in forms:
         # Parsed by its parts: the calendar decides, not a parser's policy.
         cut = {c: F.substring(text, form.index(c) + 1, form.count(c)) for c in "yMd"}
-        parsed = F.try_to_date(F.concat_ws("-", cut["y"], cut["M"], cut["d"]), "yyyy-MM-dd")
-        day = F.datediff(parsed, F.lit(_FIRST_DAY).cast("date")).cast("bigint")
-        fresh = permute(F.array(F.floor(day / _DAYS[1]), day % _DAYS[1]), sizes, key, "date")
-        moved = F.get(fresh, F.lit(0)) * _DAYS[1] + F.get(fresh, F.lit(1))
-        shown = F.date_format(F.date_add(F.lit(_FIRST_DAY).cast("date"), moved.cast("int")), form)
-        right = text.rlike(start) & parsed.isNotNull() & day.between(0, _DAYS[0] * _DAYS[1] - 1)
-        tries.append(F.when(right, shown))
-    return F.coalesce(*tries)
+        date = F.try_to_date(F.concat_ws("-", cut["y"], cut["M"], cut["d"]), "yyyy-MM-dd")
+        in_range = cut["y"].between(_FIRST_DAY[:4], str(int(_FIRST_DAY[:4]) + _YEARS - 1))
+        read = F.struct(date.alias("date"), F.lit(form).alias("form"))
+        tries.append(F.when(text.rlike(start) & in_range & date.isNotNull(), read))
+    return _let(F.coalesce(*tries), lambda read: F.call_function("date_format", _moved(read["date"], key), read["form"]))
+
+
+def _days_since(date: Column) -> Column:
+    return F.datediff(date, F.lit(_FIRST_DAY).cast("date")).cast("bigint")
+
+
+def _month_start(months: Column) -> Column:
+    """The first day of a month, counted from the first one."""
+    return F.add_months(F.lit(_FIRST_DAY).cast("date"), months.cast("int"))
+
+
+def _moved(date: Column, key: str) -> Column:
+    """The date under the permutation of its half of the days."""
+
+    def through(index: Column, sizes: tuple[int, int], kind: str) -> Column:
+        limits = F.array(*[F.lit(n).cast("bigint") for n in sizes])
+        fresh = permute(F.array(F.floor(index / sizes[1]), index % sizes[1]), limits, key, kind)
+        return _let(fresh, lambda x: F.get(x, F.lit(0)) * sizes[1] + F.get(x, F.lit(1)))
+
+    def early_date(index: Column) -> Column:
+        return F.date_add(_month_start(F.floor(index / 12)), (index % 12).cast("int"))
+
+    def late_date(index: Column) -> Column:
+        # The month that holds a late day is the one at its even share, or next to it.
+        guess = F.floor(index * (12 * _YEARS) / (_LATE_DAYS[0] * _LATE_DAYS[1]))
+        near = _let(guess, lambda g: F.array(g - 1, g, g + 1))
+        near = F.filter(near, lambda m: m.between(0, 12 * _YEARS - 1) & (before(m) <= index))
+        return _let(F.array_max(near), lambda m: F.date_add(_month_start(m), (12 + index - before(m)).cast("int")))
+
+    before = lambda m: _days_since(_month_start(m)) - 12 * m
+    month = ((F.year(date) - int(_FIRST_DAY[:4])) * 12 + F.month(date) - 1).cast("bigint")
+    early = through(month * 12 + F.day(date) - 1, _EARLY_DAYS, "early date")
+    late = through(_days_since(date) - 12 * (month + 1), _LATE_DAYS, "late date")
+    return F.when(F.day(date) <= 12, _let(early, early_date)).otherwise(_let(late, late_date))
 
 
 def _mod97(text: Column) -> Column:
@@ -263,9 +325,11 @@ def _iban(text: Column, key: str) -> Column:
 
 
 def _email(text: Column, key: str) -> Column:
-    """The part before `@`; the domain stays."""
+    """The part before `@`; the domain stays, and short names are permuted for each domain apart."""
     local = F.substring_index(text, "@", 1)
-    return F.concat(_letters(local, key, "email"), F.substring(text, F.length(local) + 1, F.length(text)))
+    domain = F.substring(text, F.length(local) + 1, F.length(text))
+    tweak = F.when(F.length(F.regexp_replace(local, _KEPT, "")) <= 2, F.lower(domain)).otherwise("")
+    return F.concat(_letters(local, key, "email", tweak), domain)
 
 
 def _secret(text: Column, key: str) -> Column:
@@ -332,27 +396,33 @@ def pseudonym(found: Column, key: str) -> Column:
 def pseudonymise(table: DataFrame, key: str, text: str = "text") -> DataFrame:
     """`table` with personal data in `text` replaced, and `n_replaced`, the count of changed values.
 
-    A column `n_replaced` of the table is replaced. A null text stays null, with
-    a count of 0; an empty text stays empty. Values whose check fails stay as
-    they are, and all else in a text is unchanged to the byte. Repeated rows are
+    A column of that name (in any case) is replaced; others may have any name. A
+    null text stays null, with a count of 0; an empty text stays empty, an empty
+    table gives an empty result. Values whose check fails stay as they are, and all
+    else in a text is unchanged to the byte. Texts are read whole, whatever their
+    length, and held by one task with a few times their size. Repeated rows are
     treated alike.
     """
     source = F.col(f"`{text}`").cast("string")
+    own = "__"
+    while any(c.lower().startswith(own) for c in table.columns):
+        own += "_"
+    ibans, pattern, found, fresh = (own + name for name in ("ibans", "any", "found", "fresh"))
     # Most texts hold nothing; a cheap test spares them the patterns.
     likely = F.when(source.rlike(_IBAN_START), F.regexp_extract_all(source, F.lit(_IBAN_LIKE), F.lit(1)))
-    rows = table.withColumn("__ibans", F.array_distinct(F.filter(likely, _is_iban)))
-    rows = rows.withColumn("__any", _any(F.col("__ibans")))
-    matches = F.when(source.rlike("[0-9@]"), F.regexp_extract_all(source, F.col("__any"), F.lit(0)))
-    rows = rows.withColumn("__found", matches)
-    rows = rows.withColumn("__fresh", F.transform("__found", lambda found: pseudonym(found, key)))
+    rows = table.withColumn(ibans, F.array_distinct(F.filter(likely, _is_iban)))
+    rows = rows.withColumn(pattern, _any(F.col(ibans)))
+    matches = F.when(source.rlike("[0-9@]") | source.rlike("(?i:password=|token = )"), F.regexp_extract_all(source, F.col(pattern), F.lit(0)))
+    rows = rows.withColumn(found, matches)
+    rows = rows.withColumn(fresh, F.transform(found, lambda value: pseudonym(value, key)))
     woven = F.zip_with(
-        F.split(source, F.col("__any"), -1), "__fresh", lambda gap, fresh: F.concat(gap, F.coalesce(fresh, F.lit("")))
+        F.split(source, F.col(pattern), -1), fresh, lambda gap, value: F.concat(gap, F.coalesce(value, F.lit("")))
     )
-    changed = F.filter(F.zip_with("__found", "__fresh", lambda a, b: a != b), lambda differs: differs)
-    held = F.size("__found") > 0
+    changed = F.filter(F.zip_with(found, fresh, lambda a, b: a != b), lambda differs: differs)
+    held = F.size(found) > 0
     columns = [
         F.when(held, F.array_join(woven, "")).otherwise(source).alias(c) if c == text else F.col(f"`{c}`")
         for c in table.columns
-        if c != "n_replaced"
+        if c.lower() != "n_replaced"
     ]
     return rows.select(*columns, F.when(held, F.size(changed)).otherwise(0).alias("n_replaced"))

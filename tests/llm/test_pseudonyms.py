@@ -17,7 +17,10 @@ def hide(spark, texts, key="k"):
 
 
 def by_hand(symbols, sizes, key, kind):
-    """The Feistel network in plain Python."""
+    """The Feistel network in plain Python; a single symbol moves by a keyed number of places."""
+    if len(symbols) == 1:
+        step = 1 + int(hashlib.sha512(f"{key}|{kind}".encode()).hexdigest()[:8], 16) % (sizes[0] - 1)
+        return [(symbols[0] + step) % sizes[0]]
     for r in range(1, pseudonyms.ROUNDS + 1):
         others = ",".join(str(x) for i, x in enumerate(symbols) if i % 2 != r % 2)
         digest = hashlib.sha512(f"{key}|{kind}|{r}|{others}".encode()).hexdigest()
@@ -39,6 +42,47 @@ def test_network_by_hand(spark):
         assert got == by_hand(symbols, sizes, "key", "kind")
 
 
+def test_all_dates_map_one_to_one(spark):
+    """Every slash and hyphen date of 1800 to 2199, in both readings."""
+    days = spark.sql("SELECT explode(sequence(date'1800-01-01', date'2199-12-31')) AS d")
+    slashes = days.select(F.explode(F.array(*[F.date_format("d", f) for f in ("MM/dd/yyyy", "dd/MM/yyyy")])).alias("text"))
+    texts = slashes.distinct().repartition(8)
+    for texts in (texts, texts.select(F.translate("text", "/", "-").alias("text"))):
+        made = texts.select("text", pseudonyms._date(F.col("text"), pseudonyms.EXAMPLE_KEY).alias("new"))
+        shape = F.col("new").rlike(r"^\d{2}([/-])\d{2}\1\d{4}$")
+        told = made.agg(F.count_distinct("new"), F.count_if(shape), F.count_if(F.col("text") == F.col("new"))).first()
+        assert tuple(told)[:2] == (234_594, 234_594) and told[2] < 20
+
+
+def test_short_names_and_long_secrets(spark):
+    names = [f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"{c}@y.org" for c in "0123456789"]
+    got = [t for t, _ in hide(spark, names, pseudonyms.EXAMPLE_KEY)]
+    assert len(set(got)) == len(names) and all(a != b and a[1:] == b[1:] for a, b in zip(got, names))
+    for n in (16, 64, 65, 80, 5000):
+        text, count = hide(spark, [f'password={"a1" * (n // 2)}{"b" * (n % 2)} x'])[0]
+        assert count == 1 and re.fullmatch(rf"password=[0-9a-f]{{{n}}} x", text) and "a1a1a1a1" not in text
+    assert hide(spark, ["password=abcdefabcdefabcd"])[0][1] == 1
+
+
+def test_cards_in_longer_runs(spark):
+    card, other = "4111 1111 1111 1111", "5500 0000 0000 0004"
+    texts = [f"5390 {card}", f"{card} 2024", f"1234 5678 {card} {other} 99", f"{card} {other}".replace(" ", "-"), "1234 5678 1234 5678 1234"]
+    got = hide(spark, texts)
+    assert [n for _, n in got] == [1, 1, 1, 1, 0]
+    assert got[0][0].startswith("5390 4") and got[1][0].endswith(" 2024") and got[2][0].startswith("1234 5678 4")
+    made = hide(spark, [card, other])
+    assert got[0][0][5:] == made[0][0] and got[1][0][:-5] == made[0][0]
+    assert got[2][0] == f"1234 5678 {made[0][0]} {made[1][0]} 99"
+    assert got[3][0] == f"{made[0][0]} {made[1][0]}".replace(" ", "-") and got[4][0] == texts[4]
+
+
+def test_clashing_columns(spark):
+    table = spark.createDataFrame([("4111111111111111", "i", "f", 1, 2)], "text string, __ibans string, __Found string, N_REPLACED int, ___any int")
+    made = pseudonyms.pseudonymise(table, "k")
+    assert made.columns == ["text", "__ibans", "__Found", "___any", "n_replaced"]
+    assert tuple(made.first())[1:] == ("i", "f", 2, 1)
+
+
 def test_permutations_are_bijective(spark):
     rows = spark.range(100).selectExpr("array(id div 10, id % 10) as s", "array(10L, 10L) as n")
     assert rows.select(pseudonyms.permute(F.col("s"), F.col("n"), "key", "x").alias("x")).distinct().count() == 100
