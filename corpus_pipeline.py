@@ -20,6 +20,8 @@ from corpusmill.sources.tables import load_table
 #: tests/llm/test_pipeline.py holds run() against a brute-force version.
 ORACLE_SQL = None
 
+KEY_SETTING = "spark.corpusmill.pseudonyms.key"
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, fitted on the labelled ones among them, does not reject."""
@@ -52,8 +54,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def hide_persons(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with pseudonyms in place of personal data."""
-    return _as_documents(pseudonyms.pseudonymise(docs, pseudonyms.EXAMPLE_KEY), docs)
+    """Documents with pseudonyms in place of personal data.
+
+    The secret key is the session's setting `KEY_SETTING`. Without it the public
+    example key is taken, whose pseudonyms anyone can undo: for trials only.
+    """
+    key = spark.conf.get(KEY_SETTING, pseudonyms.EXAMPLE_KEY)
+    return _as_documents(pseudonyms.pseudonymise(docs, key), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
