@@ -71,9 +71,11 @@ class Level:
             .groupBy(F.expr("cast(__bit div 64 as int)").alias("__word"))
             .agg(F.expr("bit_or(shiftleft(1L, cast(__bit % 64 as int)))").alias("__bits"))
         )
-        filled = packed.agg(F.expr("map_from_entries(collect_list(struct(__word, __bits)))").alias("m"))
-        words = F.expr(f"transform(sequence(0, {self.words - 1}), i -> coalesce(try_element_at(m, i), 0L))")
-        table = materialize(filled.select(words.alias("__words")), "filter")
+        # Words without a bit are zeros, so the sorted list has a word at each place.
+        every = keys.sparkSession.range(self.words).selectExpr("cast(id as int) as __word", "0L as __bits")
+        filled = packed.unionByName(every).groupBy("__word").agg(F.expr("bit_or(__bits)").alias("__bits"))
+        words = F.expr("transform(array_sort(collect_list(struct(__word, __bits))), x -> x.__bits)")
+        table = materialize(filled.agg(words.alias("__words")), "filter")
         self.array = table.scalar()
 
     def holds(self, key: Column) -> Column:
@@ -147,8 +149,12 @@ def filter_urls(
     fits (also a null, empty or malformed one) has a null rule and the verdict
     `default`: its keys are in no list. Rules that are null or have another
     action are ignored; an empty list gives every page the default. Repeated
-    pages are judged alike, an empty table gives an empty result.
+    pages are judged alike, an empty table gives an empty result. URLs are read
+    whole, whatever their length; other columns may have any name.
     """
+    own = "__"
+    while any(c.lower().startswith(own) for c in pages.columns):
+        own += "_"
     listed = (
         rules.filter(F.col("rule").isNotNull() & F.col("action").isin("block", "allow"))
         .select(
@@ -161,7 +167,7 @@ def filter_urls(
     # As many shapes as forms of rules, whatever their number.
     shape = listed.select(F.size(F.split("__host", "[.]")), F.length("__path")).distinct()
     shapes = sorted(tuple(row) for row in shape.collect())
-    kept = [F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     parts = [host(F.col(f"`{url}`")).alias("host"), path(F.col(f"`{url}`")).alias("path")]
     judged = pages.select(*kept, *parts)
     if not shapes:
@@ -181,7 +187,7 @@ def filter_urls(
         )
         for action in ("allow", "block")
     }
-    names = [f"__key{i}" for i in range(len(keys))]
+    names, chosen = [f"{own}key{i}" for i in range(len(keys))], own + "best"
     judged = judged.withColumns(dict(zip(names, keys, strict=True)))
     fits = [
         F.when(
@@ -197,11 +203,11 @@ def filter_urls(
         for action in cascades
     ]
     best = F.array_max(F.array(*fits))
-    verdict = F.when(F.col("__best.blocks"), "block").otherwise("allow")
-    return judged.withColumn("__best", best).select(
+    verdict = F.when(F.col(f"{chosen}.blocks"), "block").otherwise("allow")
+    return judged.withColumn(chosen, best).select(
         *kept,
         "host",
         "path",
-        F.col("__best.rule").alias("rule"),
-        F.when(F.col("__best").isNull(), default).otherwise(verdict).alias("verdict"),
+        F.col(f"{chosen}.rule").alias("rule"),
+        F.when(F.col(chosen).isNull(), default).otherwise(verdict).alias("verdict"),
     )

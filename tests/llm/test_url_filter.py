@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.llm import queries, url_filter
 from tests.compare import differences, duck
@@ -57,6 +58,22 @@ def test_levels_are_exact(spark, monkeypatch):
     assert all(row.hit == (int(row["__key"]) % 9 == 0) for row in answer)
 
 
+def test_a_level_of_a_million_keys(spark):
+    keys = spark.range(1_000_000).selectExpr("cast(id as string) as __key")
+    level = url_filter.Level(keys, 1_000_000, 0)
+    known = keys.filter("__key % 997 = 0")
+    assert known.filter(level.holds(F.col("__key"))).count() == known.count()
+    others = spark.range(2_000_000, 2_020_000).selectExpr("cast(id as string) as __key")
+    assert others.filter(level.holds(F.col("__key"))).count() < 200
+
+
+def test_clashing_columns(spark):
+    pages = spark.createDataFrame([("http://a.net/", "k", "b", "H")], "url string, __key0 string, __Best string, HOST string")
+    judged = url_filter.filter_urls(pages, url_filter.rule_table(spark, [("net/", "block")]))
+    assert judged.columns == ["url", "__key0", "__Best", "host", "path", "rule", "verdict"]
+    assert tuple(judged.first())[1:] == ("k", "b", "a.net", "/", "net/", "block")
+
+
 def test_empty_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id bigint, url string")
     none = url_filter.rule_table(spark, RULES).limit(0)
