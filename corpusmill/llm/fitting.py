@@ -1,9 +1,9 @@
 """Fitting linear models of hashed text features on a bounded sample of labelled rows.
 
-The sample's texts become sparse rows where they are read. Up to `SHARDS` tasks each
-fit a model on their share, and the models are averaged (parameter mixing), so
-no text and no feature row passes through the driver; it gets one weight vector
-of fixed size per shard.
+The sample's texts become sparse rows where they are read, one text for each
+labelled key, and one task fits the model on them, whatever their number. So no
+text and no feature row passes through the driver; it gets one weight vector of
+fixed size.
 """
 
 from __future__ import annotations
@@ -16,10 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SHARDS = 4
-ROWS_A_SHARD = 1000  # at least, so that few rows are not spread thin
-#: About so many labelled rows are used, chosen by a hash of the key.
-SAMPLE_ROWS = 16_384
+#: About so many labelled rows are used at most, chosen by a hash of the key.
+SAMPLE_ROWS = 8192
 
 Features = Callable[[pa.Array], Iterator[tuple[np.ndarray, np.ndarray]]]
 
@@ -33,39 +31,36 @@ def sample(labels: DataFrame, key: str, target: str, rows: int = SAMPLE_ROWS) ->
     return known.filter(place < int(share * (1 << 20)))
 
 
+def labelled_texts(table: DataFrame, labelled: DataFrame, key: str, text: str) -> DataFrame:
+    """(__key, __target, __text) of a bounded sample; of several texts of a key the least one counts."""
+    texts = table.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").cast("string").alias("__text"))
+    least = texts.join(F.broadcast(labelled), "__key").groupBy("__key", "__target").agg(F.min("__text").alias("__text"))
+    return least
+
+
 def sparse_rows(
     table: DataFrame, labelled: DataFrame, features: Features, key: str, text: str
 ) -> DataFrame:
-    """(shard, target, places, values) of the labelled texts; `labelled` is a bounded sample."""
-    shards = max(1, min(SHARDS, labelled.count() // ROWS_A_SHARD))
-    texts = table.select(F.col(f"`{key}`").alias("__key"), F.col(f"`{text}`").cast("string").alias("__text"))
-    texts = texts.join(F.broadcast(labelled), "__key").select(
-        F.pmod(F.xxhash64("__key", F.lit(1)), F.lit(shards)).cast("int").alias("shard"),
-        F.col("__target").cast("int").alias("target"),
-        "__text",
-    )
+    """(target, places, values) of the labelled texts; `labelled` is a bounded sample."""
+    texts = labelled_texts(table, labelled, key, text).select(F.col("__target").cast("int").alias("target"), "__text")
 
     def run(batches):
         for batch in batches:
             rows = list(features(batch["__text"]))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch["shard"],
                     batch["target"],
                     pa.array([places.astype("<i4").tobytes() for places, _ in rows], pa.binary()),
                     pa.array([values.astype("<f4").tobytes() for _, values in rows], pa.binary()),
                 ],
-                ["shard", "target", "places", "values"],
+                ["target", "places", "values"],
             )
 
-    return texts.mapInArrow(run, "shard int, target int, places binary, values binary")
+    return texts.mapInArrow(run, "target int, places binary, values binary")
 
 
 def fit(rows: DataFrame, learn: Callable, size: int) -> np.ndarray:
-    """The mean of the models that `learn(targets, places, values)` gives for each shard.
-
-    Zeros where there is no labelled row.
-    """
+    """The model that `learn(targets, places, values)` gives; zeros where there is no labelled row."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["target", "places", "values"], ignore_index=True)
@@ -73,10 +68,7 @@ def fit(rows: DataFrame, learn: Callable, size: int) -> np.ndarray:
         places = [np.frombuffer(p, "<i4") for p in part["places"]]
         values = [np.frombuffer(v, "<f4").astype(np.float64) for v in part["values"]]
         model = learn(part["target"].to_numpy(), places, values)
-        return pd.DataFrame({"model": [model.astype("<f8").tobytes()], "n": [len(part)]})
+        return pd.DataFrame({"model": [model.astype("<f8").tobytes()]})
 
-    fitted = rows.groupBy("shard").applyInPandas(run, "model binary, n bigint").collect()
-    if not fitted:
-        return np.zeros(size)
-    models = [np.frombuffer(bytes(row["model"]), "<f8") for row in fitted]
-    return np.average(models, axis=0, weights=[row["n"] for row in fitted])
+    fitted = rows.groupBy(F.lit(0).alias("all")).applyInPandas(run, "model binary").collect()
+    return np.frombuffer(bytes(fitted[0]["model"]), "<f8").copy() if fitted else np.zeros(size)

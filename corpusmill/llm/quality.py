@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from corpusmill.llm import fitting, words
 
 BITS = 18
-EPOCHS = 4
-STEPS = 4000  # at least; few rows are gone through more often
+EPOCHS = 8
 THRESHOLD = 0.3
 _BIAS = 1 << BITS
 
@@ -69,7 +68,7 @@ def learn(
         shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - l1, 0)
         return -shrunk / ((beta + np.sqrt(n[at])) / alpha + l2)
 
-    for _ in range(max(EPOCHS, -(-STEPS // max(1, len(targets))))):
+    for _ in range(EPOCHS):
         for target, at, x in zip(targets, places, values, strict=True):
             w = weights(at)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
@@ -98,7 +97,8 @@ def score(
     """One row per row of `table`: key, `score` from 0 to 1 and `predicted` (1 from the threshold on).
 
     Whole texts count. A null or empty text has the score of the bias alone.
-    Repeated rows score alike; other columns are left out.
+    Repeated rows score alike; other columns are left out, so none can clash. An
+    empty table gives an empty result.
     """
     weights = table.sparkSession.sparkContext.broadcast(model)
     kept = table.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))

@@ -110,8 +110,7 @@ def severity_grades(labels: DataFrame, flag: str, table: DataFrame, key: str = "
     sample hold, and no more clean texts than one in fifty of these.
     """
     labelled = fitting.sample(labels, key, flag, rows)
-    texts = table.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    texts = texts.join(F.broadcast(labelled.select(F.col("__key").alias("key"), F.col("__target").alias("flag"))), "key")
+    texts = fitting.labelled_texts(table, labelled, key, text).toDF("key", "flag", "text")
     size = 1 << BITS
 
     def count(batches):
@@ -220,7 +219,11 @@ def score(
 def keep_clean(
     table: DataFrame, model: np.ndarray, text: str = "text", reject_at: float = REJECT_AT
 ) -> DataFrame:
-    """The rows of `table` that `score` does not call toxic, with all their columns, in one pass."""
+    """The rows of `table` that `score` does not call toxic, with all their columns, in one pass.
+
+    Rows without text stay unless the model rejects a text without features; null
+    keys, repeated rows and columns of any name pass; an empty table stays empty.
+    """
     shared = table.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -1,6 +1,8 @@
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.llm import fitting, quality, queries, toxicity
 
@@ -35,6 +37,55 @@ def test_toxicity_finds_labelled_rows(spark):
     assert all(0 <= r.severity <= toxicity.GRADES and 0 <= r.grade <= toxicity.GRADES for r in rows)
 
 
+def test_toxicity_on_held_out_rows(spark):
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").select("doc_id", "toxic")
+    out = queries.held_out(F.col("doc_id"))
+    model = toxicity.fit_flags(documents, labels.filter(~out))
+    held = toxicity.score(documents, model).join(labels.filter(out).withColumnRenamed("toxic", "flag"), "doc_id").collect()
+    assert area([r.severity for r in held], [r.flag for r in held]) > 0.9
+    assert np.mean([r.toxic for r in held if r.flag]) > 0.6
+    assert np.mean([r.toxic for r in held if not r.flag]) < 0.02
+
+
+@pytest.mark.parametrize("n", [1, 999, 1000, 2001])
+def test_one_model_for_any_number_of_rows(spark, n):
+    """What the task learns is what the rows give in one go; a key of several texts counts once."""
+    table = spark.range(n).selectExpr("id as doc_id", "concat('word', id % 7, ' ', if(id % 3 = 0, 'bad bad', 'fine')) as text")
+    labels = table.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) as y")
+    twice = table.union(table.selectExpr("doc_id", "concat(text, ' zzz')"))
+    model = fitting.fit(fitting.sparse_rows(twice, fitting.sample(labels, "doc_id", "y"), quality.features, "doc_id", "text"), quality.learn, 0)
+    rows = [(r.y, p, v) for r, (p, v) in zip(labels.collect(), quality.features(pa.array([r.text for r in table.collect()])))]
+    frame = pd.DataFrame([(y, p.astype("<i4").tobytes(), v.astype("<f4").tobytes()) for y, p, v in rows], columns=["y", "p", "v"])
+    frame = frame.sort_values(["y", "p", "v"], ignore_index=True).sample(frac=1, random_state=7, ignore_index=True)
+    want = quality.learn(
+        frame["y"].to_numpy(), [np.frombuffer(p, "<i4") for p in frame["p"]], [np.frombuffer(v, "<f4").astype(float) for v in frame["v"]]
+    )
+    assert np.allclose(model, want)
+
+
+def test_learning_by_hand():
+    """Follow the regularised leader, weight by weight in plain Python."""
+    rows = [(1, [0, 3], [1.0, 0.5]), (0, [1, 3], [1.0, 0.25]), (1, [0, 2], [0.5, 1.0])] * 3
+    z, n = [0.0] * 4, [0.0] * 4
+
+    def weight(i):
+        shrunk = max(abs(z[i]) - 1e-3, 0) * (1 if z[i] > 0 else -1)
+        return -shrunk / (1.0 + n[i] ** 0.5 + 1e-3)
+
+    for _ in range(quality.EPOCHS):
+        for y, at, x in rows:
+            w = [weight(i) for i in at]
+            p = 1 / (1 + np.exp(-sum(a * b for a, b in zip(w, x))))
+            for i, xi, wi in zip(at, x, w):
+                g = (p - y) * xi
+                sigma = (n[i] + g * g) ** 0.5 - n[i] ** 0.5
+                z[i] += g - sigma * wi
+                n[i] += g * g
+    got = quality.learn(np.array([r[0] for r in rows]), [np.array(r[1]) for r in rows], [np.array(r[2]) for r in rows])
+    assert np.allclose(got[:4], [weight(i) for i in range(4)])
+
+
 def _graded(spark, n=600, seed=1):
     draw = np.random.default_rng(seed)
     rows = []
