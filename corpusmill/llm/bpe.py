@@ -22,6 +22,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+TOKENIZER_SETTING = "spark.corpusmill.tokenizer"
 SLICE_CHARS = 1 << 20
 CACHED_WORDS = 1 << 18
 #: Fixed value: how byte-level tokenizers split a text before the merges. White
@@ -218,7 +219,16 @@ def _slices(texts: pa.Array) -> Iterator[list[str]]:
         yield part
 
 
-def broadcast_vocabulary(spark: SparkSession, path: str) -> Broadcast[Vocabulary]:
+def tokenizer_path() -> str:
+    """The production vocabulary; any byte-level BPE file of the same format will do."""
+    import public_tokenizers  # here, so that other queries need no vocabulary
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def broadcast_vocabulary(spark: SparkSession, path: str | None = None) -> Broadcast[Vocabulary]:
+    """The vocabulary at `path`, or at the session's setting `TOKENIZER_SETTING`, or the production one."""
+    path = path or spark.conf.get(TOKENIZER_SETTING, None) or tokenizer_path()
     return spark.sparkContext.broadcast(Vocabulary(path))
 
 
@@ -263,6 +273,22 @@ def decode_ids(
     return kept.mapInArrow(run, f"key {kind}, text string").withColumnRenamed("key", key)
 
 
+def token_counts(
+    table: DataFrame, vocabulary: Broadcast[Vocabulary], key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row per row of `table`: its key and `n_tokens`; rules as for `encode_texts`."""
+    kept = table.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+
+    def run(batches):
+        encoder = Encoder(vocabulary.value)
+        for batch in batches:
+            counts = [np.zeros(0, np.int64), *[encoder.encode(texts)[1] for texts in _slices(batch["text"])]]
+            yield pa.RecordBatch.from_arrays([batch["key"], pa.array(np.concatenate(counts).astype(np.int64))], ["key", "n_tokens"])
+
+    kind = kept.schema["key"].dataType.simpleString()
+    return kept.mapInArrow(run, f"key {kind}, n_tokens bigint").withColumnRenamed("key", key)
+
+
 def token_digests(
     table: DataFrame, vocabulary: Broadcast[Vocabulary], key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -270,7 +296,9 @@ def token_digests(
 
     The ids (`ids_sha256`) count as little-endian unsigned 32-bit integers, the
     decoded text (`decoded_sha256`) as UTF-8. Encoding and decoding run in one
-    pass, so the ids themselves are never shipped.
+    pass, so the ids themselves are never shipped. A null or empty text has no ids;
+    long ones are encoded whole, in slices of bounded size. Repeated rows give
+    repeated rows, an empty table an empty result; other columns are left out.
     """
     kept = table.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     names = ["key", "n_tokens", "ids_sha256", "decoded_sha256"]

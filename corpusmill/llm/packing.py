@@ -5,20 +5,25 @@ chosen by dynamic programming over the global histogram of lengths, so that the
 padding in all is least for the number of buckets. Inside a bucket, documents in
 a seeded random order fill batches whose padded size keeps to a token budget.
 
-The histogram has one bin per length up to 4096 and bins of 11 leading bits
+The histogram has one bin per length up to 4095 and bins of 12 leading bits
 above, so it has a bounded size whatever the table's; each bin's longest length
-is known exactly. Documents are numbered within their bucket by two steps, first
-within small random groups and then by the groups' sizes, so that a bucket that
-holds most documents is spread over many tasks.
+is known exactly. Bounds are sought among these, so beyond 4095 tokens a bound may
+be one part in 2048 above the best one. Documents of equal id and length are
+counted first and numbered in pieces of bounded size; pieces are numbered within
+their bucket by two steps, first within small random groups and then by the
+groups' sizes. So neither an id nor a bucket that holds most documents meets in
+one task.
 """
 
 from __future__ import annotations
 
 from collections import deque
 
+from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.llm import bpe
 from corpusmill.runtime import materialize
 
 BUCKETS = 16
@@ -97,8 +102,8 @@ def pack(
     """
     size = F.greatest(F.coalesce(F.col(f"`{length}`"), F.lit(0)), F.lit(0)).cast("bigint")
     rows = lengths.select(F.col(f"`{key}`").alias("__key"), size.alias("n_tokens"))
-    rows = materialize(rows, "lengths")
-    counted = rows.groupBy(_bin(F.col("n_tokens"))).agg(F.max("n_tokens").alias("top"), F.count("*").alias("n"))
+    rows = materialize(rows.groupBy("__key", "n_tokens").agg(F.count("*").alias("__copies")), "lengths")
+    counted = rows.groupBy(_bin(F.col("n_tokens"))).agg(F.max("n_tokens").alias("top"), F.sum("__copies").alias("n"))
     bins = sorted((row["top"], row["n"]) for row in counted.collect())
     bounds = best_bounds(bins, buckets)
     if not bounds:
@@ -112,25 +117,29 @@ def pack(
         own = F.when(fits, i).otherwise(own)
         groups = F.when(fits, max(1, -(-sizes[i] // ROWS_A_GROUP))).otherwise(groups)
         per_batch = F.when(fits, max(1, budget // max(1, bounds[i]))).otherwise(per_batch)
-    order = F.xxhash64("__key", "n_tokens", F.lit(11))
+    piece = F.explode(F.sequence(F.lit(0), F.floor((F.col("__copies") - 1) / ROWS_A_GROUP)))
+    rows = rows.select("*", piece.alias("__piece"), own.cast("int").alias("bucket"), per_batch.cast("bigint").alias("__per_batch"))
+    order = F.xxhash64("__key", "n_tokens", "__piece", F.lit(11))
     rows = rows.select(
         "*",
-        own.cast("int").alias("bucket"),
-        per_batch.cast("bigint").alias("__per_batch"),
+        F.least(F.lit(ROWS_A_GROUP), F.col("__copies") - F.col("__piece") * ROWS_A_GROUP).alias("__size"),
         order.alias("__order"),
         F.pmod(F.shiftrightunsigned(order, 20), groups).cast("int").alias("__group"),
     )
     before = Window.partitionBy("bucket").orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy("bucket", "__group").agg(F.count("*").alias("__n"))
+    offsets = rows.groupBy("bucket", "__group").agg(F.sum("__size").alias("__n"))
     offsets = offsets.select(
         F.col("bucket").alias("__bucket"),
         F.col("__group").alias("__own"),
         F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
     )
-    inside = Window.partitionBy("bucket", "__group").orderBy("__order", "__key", "n_tokens")
-    rows = rows.withColumn("__rank", F.row_number().over(inside) - 1)
+    inside = Window.partitionBy("bucket", "__group").orderBy("__order", "__key", "n_tokens", "__piece")
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__rank", F.coalesce(F.sum("__size").over(inside), F.lit(0)))
     at_group = (F.col("bucket") == F.col("__bucket")) & (F.col("__group") == F.col("__own"))
-    rows = rows.join(offsets, at_group).withColumn("__place", F.col("__before") + F.col("__rank"))
+    copy = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__size") - 1)).alias("__copy")
+    rows = rows.join(offsets, at_group).select("*", copy)
+    rows = rows.withColumn("__place", F.col("__before") + F.col("__rank") + F.col("__copy"))
     padded = F.element_at(F.from_json(F.lit(str(bounds)), "array<bigint>"), F.col("bucket") + 1)
     return rows.select(
         F.col("__key").alias(key),
@@ -143,8 +152,17 @@ def pack(
 
 
 def pack_texts(
-    table: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, budget: int = BUDGET
+    table: DataFrame,
+    vocabulary: Broadcast[bpe.Vocabulary] | None = None,
+    key: str = "doc_id",
+    text: str = "text",
+    buckets: int = BUCKETS,
+    budget: int = BUDGET,
 ) -> DataFrame:
-    """`pack` by the number of words of whole texts; a null text has none."""
-    counted = table.select(F.col(f"`{key}`").alias(key), word_count(F.col(f"`{text}`").cast("string")).alias("n_tokens"))
+    """`pack` by the tokens of whole texts, or by their words without a vocabulary; a null text has none."""
+    if vocabulary is not None:
+        counted = bpe.token_counts(table, vocabulary, key, text)
+    else:
+        words = word_count(F.col(f"`{text}`").cast("string")).alias("n_tokens")
+        counted = table.select(F.col(f"`{key}`").alias(key), words)
     return pack(counted, key, "n_tokens", buckets, budget)

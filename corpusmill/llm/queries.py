@@ -54,17 +54,10 @@ def op4_multiset_hash(spark, folder):
     return multiset_hash.fingerprint_edits(load_table(spark, folder, "documents"))
 
 
-def tokenizer_path() -> str:
-    """The production vocabulary; any byte-level BPE file of the same format will do."""
-    import public_tokenizers  # here, so that the other queries need no vocabulary
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @_register
 def op5_bpe(spark, folder):
     documents = load_table(spark, folder, "documents")
-    return bpe.token_digests(documents, bpe.broadcast_vocabulary(spark, tokenizer_path()))
+    return bpe.token_digests(documents, bpe.broadcast_vocabulary(spark))
 
 
 @_register
@@ -102,7 +95,7 @@ def op9_signature_tree(spark, folder):
 
 @_register
 def op10_packing(spark, folder):
-    return packing.pack_texts(load_table(spark, folder, "documents"))
+    return packing.pack_texts(load_table(spark, folder, "documents"), bpe.broadcast_vocabulary(spark))
 
 
 @_register

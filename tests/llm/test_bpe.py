@@ -15,12 +15,12 @@ ODD = [
 
 @pytest.fixture(scope="module")
 def vocabulary():
-    return bpe.Vocabulary(queries.tokenizer_path())
+    return bpe.Vocabulary(bpe.tokenizer_path())
 
 
 @pytest.fixture(scope="module")
 def library():
-    return Tokenizer.from_file(queries.tokenizer_path())
+    return Tokenizer.from_file(bpe.tokenizer_path())
 
 
 def test_like_the_library(vocabulary, library):

@@ -1,7 +1,9 @@
 import itertools
 import random
 
-from corpusmill.llm import packing, queries
+from tokenizers import Tokenizer
+
+from corpusmill.llm import bpe, packing, queries
 
 
 def padding(histogram, bounds):
@@ -56,6 +58,24 @@ def test_batches(spark, monkeypatch):
     assert sorted(map(str, again)) == sorted(map(str, first))
 
 
+def test_a_third_of_the_rows_under_one_id(spark, monkeypatch):
+    """Equal rows are counted, and numbered in pieces: no group holds more than a few hundred rows."""
+    monkeypatch.setattr(packing, "ROWS_A_GROUP", 100)
+    lengths = [(i, 1 + i % 90) for i in range(6000)] + [(None, 40)] * 3000
+    table = spark.createDataFrame(lengths, "doc_id bigint, n_tokens bigint").repartition(6)
+    made = packing.pack(table, budget=2000, buckets=3)
+    _check(made.collect(), lengths, 2000, 3)
+
+
+def test_tokens_of_a_vocabulary(spark):
+    texts = [(1, "antidisestablishmentarianism, 12345"), (2, None), (3, ""), (4, "word"), (4, "word")]
+    table = spark.createDataFrame(texts, "doc_id bigint, text string")
+    vocabulary = bpe.broadcast_vocabulary(spark)
+    counted = {r.doc_id: r.n_tokens for r in bpe.token_digests(table, vocabulary).collect()}
+    rows = packing.pack_texts(table, vocabulary).collect()
+    assert len(rows) == 5 and all(r.n_tokens == counted[r.doc_id] for r in rows) and counted[1] > 4
+
+
 def test_histogram_keeps_whole_lengths(spark):
     table = spark.createDataFrame([(1, 5001), (2, 5000), (3, 70001), (4, 3)], "doc_id bigint, n_tokens bigint")
     rows = {r.doc_id: r.padded_to for r in packing.pack(table, buckets=9).collect()}
@@ -69,10 +89,10 @@ def test_empty_and_texts(spark):
 
 
 def test_query(spark):
+    """Lengths are those of the tokenizers library."""
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
-    lengths = [(r.doc_id, len([w for w in r.text.split() if w]) if r.text.isascii() else None) for r in docs]
+    tokenizer = Tokenizer.from_file(bpe.tokenizer_path())
+    encoded = tokenizer.encode_batch([r.text or "" for r in docs], add_special_tokens=False)
     rows = queries.queries()["op10_packing"](spark, folder).collect()
-    known = {i: n for i, n in lengths if n is not None}
-    assert all(r.n_tokens == known.get(r.doc_id, r.n_tokens) for r in rows)
-    _check(rows, [(r.doc_id, r.n_tokens) for r in rows], packing.BUDGET, packing.BUCKETS)
+    _check(rows, [(r.doc_id, len(e.ids)) for r, e in zip(docs, encoded)], packing.BUDGET, packing.BUCKETS)
