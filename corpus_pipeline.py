@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import packing, pseudonyms, recompression, signature_tree, toxicity
+from corpusmill.llm import bpe, packing, pseudonyms, recompression, signature_tree, toxicity
 from corpusmill.runtime import materialize
 from corpusmill.sources.tables import load_table
 
@@ -64,8 +64,8 @@ def hide_persons(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bucket, batch and slot of every document."""
-    return packing.pack_texts(docs)
+    """Bucket, batch and slot of every document, by its tokens."""
+    return packing.pack_texts(docs, bpe.broadcast_vocabulary(spark))
 
 
 def _as_documents(changed: DataFrame, docs: DataFrame) -> DataFrame:
