@@ -70,5 +70,5 @@ def test_near_copies_by_row(spark):
 def test_registered():
     names = queries.queries()
     assert "pipeline" in names and pseudonyms.EXAMPLE_KEY
-    assert [n for n in range(1, 11) if sum(q.startswith(f"op{n}_") for q in names) == 1] == list(range(1, 11))
+    assert [n for n in range(1, 14) if sum(q.startswith(f"op{n}_") for q in names) == 1] == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None and set(queries.oracle_sql()) == {"op2_url_filter"}
