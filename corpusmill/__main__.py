@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     stage("blocks", stages.blocks, "source", "out")
     stage("split", stages.split_pairs, "source", "out").add_argument("--near", action="store_true")
     stage("preferences", stages.preferences, "source", "out")
+    stage("reward-prompts", stages.reward_prompts, "source", "out")
     stage("evaluate", stages.evaluate, "benchmark", "predictions", "out").add_argument(
         "--lint-results"
     )

@@ -41,6 +41,13 @@ def rl_prompts(train: DataFrame) -> DataFrame:
     return train.filter(F.col("task_type") == fv.TASK_ASSERT).withColumn("prompt", prompt())
 
 
+def require_prompts(prompts: DataFrame) -> DataFrame:
+    """`prompts`, or an error where there is none: reward training cannot start on nothing."""
+    if prompts.isEmpty():
+        raise ValueError(f"no row of task {fv.TASK_ASSERT}: there is nothing to train on")
+    return prompts
+
+
 def sft_text(rows: DataFrame, response: Column | None = None) -> DataFrame:
     """Add `text`: instruction, input and response under their headings."""
     answer = F.col("output") if response is None else response

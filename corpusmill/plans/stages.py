@@ -19,6 +19,7 @@ from corpusmill.runtime import materialize
 from corpusmill.sources import files, jsonl, results, seeds
 
 SPLIT_PAIRS = schemas.StructType(schemas.PAIRS.fields).add("split_key", "string").add("split", "string")
+REWARD_PROMPTS = schemas.StructType(SPLIT_PAIRS.fields).add("prompt", "string")
 PROMPTS = schemas.StructType(schemas.CHUNKS_LABELED.fields).add("prompt", "string").add(
     "prompt_key", "string"
 )
@@ -111,6 +112,13 @@ def preferences(spark: SparkSession, source: str, out: str) -> DataFrame:
     return prefs.size_guards(written, prefs.rl_prompts(train))
 
 
+def reward_prompts(spark: SparkSession, source: str, out: str) -> DataFrame:
+    """Prompts for reward training, from the train split; without any the stage stops and writes nothing."""
+    train = jsonl.read_records(spark, source, SPLIT_PAIRS).filter(F.col("split") == "train")
+    jsonl.write_records(prefs.require_prompts(prefs.rl_prompts(train)), out)
+    return jsonl.read_records(spark, out, REWARD_PROMPTS).agg(F.count("*").alias("n_prompts"))
+
+
 def evaluate(
     spark: SparkSession, benchmark: str, predictions: str, lint_results: str | None, out: str
 ) -> DataFrame:

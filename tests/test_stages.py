@@ -61,6 +61,14 @@ def test_all_stages(spark, data, capsys):
     rows = jsonl.read_records(spark, path("split"), stages.SPLIT_PAIRS)
     assert rows.count() == 36 and rows.groupBy("split_key").agg(F.countDistinct("split").alias("n")).filter("n > 1").count() == 0
     assert "preference_pairs" in stage("preferences", path("split"), path("prefs"))
+    # The one assertion pair is a seed; whether it is in the train split is the draw's.
+    in_train = rows.filter("split = 'train' and task_type = 'sva_assertion_generation'").count()
+    if in_train:
+        assert f"|{in_train} " in stage("reward-prompts", path("split"), path("rewards"))
+    jsonl.write_records(rows.filter("task_type <> 'sva_assertion_generation'"), path("bare"), "split")
+    with pytest.raises(ValueError, match="nothing to train on"):
+        stage("reward-prompts", path("bare"), path("none"))
+    assert not (data / "none").exists()
 
     items = [(1, "rtl_explanation", "Explain.", "x", "it counts up"), (2, "rtl_bug_finding", "Find.", "y", None)]
     jsonl.write_records(spark.createDataFrame(items, schemas.BENCHMARK), path("bench"))
