@@ -106,9 +106,12 @@ def gen_ingest(
     """Explanation pairs for prompts with a completion; a failed call has none.
 
     Of several completions of one prompt the least text counts.
+
+    Both sides hold texts, whose size Spark does not know before they are made: a
+    few kilobytes of keys can become gigabytes, so neither side is broadcast.
     """
     single = completions.groupBy("prompt_key").agg(F.min("completion").alias("completion"))
-    return prompts.join(single, "prompt_key").select(
+    return prompts.join(single.hint("merge"), "prompt_key").select(
         F.lit(fv.TASK_EXPLAIN).alias("task_type"),
         F.lit(fv.EXPLAIN_INSTRUCTION).alias("instruction"),
         F.col("content").alias("input"),

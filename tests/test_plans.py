@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from corpusmill.operators import dedupe, label, lint, score
+from corpusmill.operators import dedupe, label, lint, pairs, score
 from corpusmill.workload import derived
 
 FOLDER = "/root/testdata/sf0.001"
@@ -107,3 +107,16 @@ def test_bucket_list_for_broadcast_is_bounded(spark):
     salted = dedupe._shared_buckets(members, hot_rows=10)
     assert salted.agg(F.max("salts")).first()[0] == 6 and salted.count() == 800
     assert salted.select("bucket", "salt").distinct().count() > 18
+
+
+def test_prompts_are_not_broadcast_however_small_their_source(spark):
+    """Forty texts of a megabyte come from a column of numbers, which is all that Spark knows of their size."""
+    ids = spark.range(40)
+    prompts = ids.select(
+        F.lit("a.sv").alias("source_path"), F.repeat(F.lit("x"), 1 << 20).alias("content"),
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias("prompt_key"),
+    )
+    answers = prompts.filter(F.col("prompt_key") != "k7").select("prompt_key", F.lit("It is so.").alias("completion"))
+    made = pairs.gen_ingest(prompts, answers.union(answers))
+    assert made.filter(F.length("input") == 1 << 20).count() == 39
+    assert "BroadcastHashJoin" not in plan(made) and "BroadcastExchange" not in plan(made)
