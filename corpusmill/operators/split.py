@@ -22,6 +22,8 @@ from corpusmill.operators.dedupe import HOT_ROWS, leader_links, long_enough
 from corpusmill.operators.pairs import pair_key
 from corpusmill.runtime import materialize
 
+# Band keys of a pair's text, null where it is not worth signing.
+BANDED = "__pair_bands"
 # 16^4 histogram bins: a fixed size however many keys there are.
 _BIN_CHARS = 4
 
@@ -128,10 +130,27 @@ def _pair_text() -> Column:
     return F.concat_ws("\n", "input", "output")
 
 
+def with_bands(pairs: DataFrame, text: Column | None = None) -> DataFrame:
+    """Pairs, written with the band keys of their text, so that several steps sign them only once.
+
+    Steps that get these pairs use the keys in place of their `text`.
+    """
+    told = _pair_text() if text is None else text
+    worth = F.length(told) >= fv.MIN_RECORD_CHARS
+    return materialize(pairs.withColumn(BANDED, F.when(worth, band_keys(signature(told)))), "banded-pairs")
+
+
+def _banded(pairs: DataFrame, key: str, text: Column) -> DataFrame:
+    """(key, bands) of all pairs whose text is worth signing."""
+    if BANDED in pairs.columns:
+        return pairs.select(key, F.col(BANDED).alias("bands")).filter("bands is not null")
+    told = long_enough(pairs.select(key, text.alias("content")))
+    return told.select(key, band_keys(signature(F.col("content"))).alias("bands"))
+
+
 def _bucketed(pairs: DataFrame, text: Column) -> DataFrame:
     """(split_key, bucket) of all pairs whose text is worth signing."""
-    told = long_enough(pairs.select(split_key().alias("split_key"), text.alias("content")))
-    bands = told.select("split_key", band_keys(signature(F.col("content"))).alias("bands")).distinct()
+    bands = _banded(pairs.withColumn("split_key", split_key()), "split_key", text).distinct()
     return materialize(bands, "pair-bands").select("split_key", F.explode(each_band_key(F.col("bands"))).alias("bucket"))
 
 
@@ -172,8 +191,7 @@ def near_split_rows(pairs: DataFrame, seed: int = fv.SEED, text: Column | None =
 def near_leak_check(rows: DataFrame, text: Column | None = None) -> DataFrame:
     """Band buckets of split pairs, and buckets found in more than one split (zero after `near_split_rows`)."""
     told = _pair_text() if text is None else text
-    signed = long_enough(rows.select("split", told.alias("content")))
-    bands = signed.select("split", F.explode(each_band_key(band_keys(signature(F.col("content"))))).alias("bucket"))
+    bands = _banded(rows, "split", told).select("split", F.explode(each_band_key(F.col("bands"))).alias("bucket"))
     per_bucket = bands.groupBy("bucket").agg(F.min("split").alias("lo"), F.max("split").alias("hi"))
     return per_bucket.agg(
         F.count("*").alias("n_buckets"), F.count_if(F.col("lo") != F.col("hi")).alias("n_leaking")

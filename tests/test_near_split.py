@@ -62,6 +62,16 @@ def test_no_near_pairs_are_parted(pairs):
     assert split.split_leak_check(rows).first()["n_leaking"] == 0
 
 
+def test_pairs_signed_once_give_the_same(spark, pairs):
+    _, table = pairs
+    banded = split.with_bands(table)
+    for rows in (split.near_split_rows(banded), split.split_rows(banded)):
+        plain = rows.drop(split.BANDED)
+        assert "ArrowEvalPython" not in split.near_leak_check(rows)._jdf.queryExecution().executedPlan().toString()
+        assert split.near_leak_check(rows).first() == split.near_leak_check(plain).first()
+    assert sorted(map(tuple, split.near_groups(banded).collect())) == sorted(map(tuple, split.near_groups(table).collect()))
+
+
 def test_odd_pairs(spark):
     schema = "task_type string, instruction string, input string, output string, source_path string"
     none = spark.createDataFrame([], schema)
