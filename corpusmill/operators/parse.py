@@ -39,8 +39,8 @@ def _modules(text: Column) -> Column:
     return F.when(text.contains("endmodule"), found).otherwise(F.array().cast("array<string>"))
 
 
-def _piece(heading: Column, body: Column, name: Column) -> Column:
-    return F.struct(heading.alias("heading"), body.alias("body"), name.alias("name"))
+def _piece(kind: str, heading: Column, body: Column, name: Column) -> Column:
+    return F.struct(F.lit(kind).alias("type"), heading.alias("heading"), body.alias("body"), name.alias("name"))
 
 
 def _masked_modules(text: Column) -> Column:
@@ -52,7 +52,7 @@ def _masked_modules(text: Column) -> Column:
         body, start = F.substring(text, span["start"], span["size"]), F.substring(code, span["start"], span["size"])
         before, name = F.regexp_extract(start, head, 0), F.regexp_extract(start, rf"{head}({WORD}+)", 1)
         own = F.substring(body, F.length(before) + 1, F.length(name))
-        return _piece(F.lit(None).cast("string"), body, F.ltrim(own, F.lit("\\")))
+        return _piece(TYPE_MODULE, F.lit(None).cast("string"), body, F.ltrim(own, F.lit("\\")))
 
     # An array of one element, so that the mask is painted once and not for each module.
     each = F.transform(F.array(painted), lambda code: F.transform(spans(code, _MODULE), lambda span: piece(span, code)))
@@ -60,14 +60,14 @@ def _masked_modules(text: Column) -> Column:
 
 
 def _pieces(text: Column, masked: bool) -> Column:
-    """Array of (heading, body, name): modules without heading, or what stands at and after headings."""
+    """Array of (type, heading, body, name): modules without heading, or what stands at and after headings."""
     none = F.lit(None).cast("string")
     headings = F.concat(F.array(none), F.regexp_extract_all(text, F.lit(_HEADING), 1))
-    sections = F.zip_with(headings, F.split(text, _HEADING, -1), lambda heading, body: _piece(heading, body, none))
+    sections = F.zip_with(headings, F.split(text, _HEADING, -1), lambda heading, body: _piece(TYPE_SECTION, heading, body, none))
     if masked:
         modules = _masked_modules(text)
     else:
-        modules = F.transform(_modules(text), lambda m: _piece(none, m, F.regexp_extract(m, _MODULE_NAME, 1)))
+        modules = F.transform(_modules(text), lambda m: _piece(TYPE_MODULE, none, m, F.regexp_extract(m, _MODULE_NAME, 1)))
     return F.when(_is_code(), modules).otherwise(sections)
 
 
@@ -86,12 +86,14 @@ def raw_records(files: DataFrame, masked: bool = False) -> DataFrame:
     # Only a file without modules is carried along whole.
     is_whole = _is_code() & (F.size("pieces") == 0)
     none = F.lit(None).cast("string")
-    whole = F.array(_piece(none, strip(text), none))
+    whole = F.array(_piece(TYPE_FILE, none, strip(text), none))
+    # The type comes out of the pieces: a filter on it stays above the parsing, which
+    # Spark would else repeat in the few tasks that scan the files.
+    kind = F.col("piece.type")
     rows = found.select(
         "ext_rank",
         "ext",
         "source_path",
-        is_whole.alias("is_whole"),
         F.posexplode(F.when(is_whole, whole).otherwise(F.col("pieces"))).alias("pos", "piece"),
     )
     heading, body = strip(F.col("piece.heading")), F.col("piece.body")
@@ -100,14 +102,8 @@ def raw_records(files: DataFrame, masked: bool = False) -> DataFrame:
         "ext_rank",
         "source_path",
         "pos",
-        F.when(~_is_code(), TYPE_SECTION)
-        .when(F.col("is_whole"), TYPE_FILE)
-        .otherwise(TYPE_MODULE)
-        .alias("type"),
-        F.when(
-            _is_code() & ~F.col("is_whole"),
-            F.nullif(F.col("piece.name"), F.lit("")),
-        ).alias("module_name"),
+        kind.alias("type"),
+        F.when(kind == TYPE_MODULE, F.nullif(F.col("piece.name"), F.lit(""))).alias("module_name"),
         F.when(~_is_code(), heading).alias("title"),
         F.when(_is_code(), body).otherwise(section).alias("content"),
     )
