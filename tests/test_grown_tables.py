@@ -2,7 +2,14 @@
 
 import hashlib
 
-from corpusmill.workload import registry
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from corpusmill.functions import sketch
+from corpusmill.operators import dedupe, pairs, parse
+from corpusmill.workload import derived, registry
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -26,3 +33,41 @@ def test_a_shingle_is_never_a_row(spark, tmp_path):
         (None, 1, "abcde", "abcde", weight("abcde")),
         (4, 1, "aaaaa", "aaaaa", weight("aaaaa")),
     }
+
+
+def test_a_filter_on_types_parses_no_file_in_the_scan(spark):
+    files = spark.range(40).select(
+        F.concat(F.lit("r/m"), F.col("id").cast("string"), F.lit(".sv")).alias("path"), F.lit("sv").alias("ext"),
+        F.lit(0).alias("ext_rank"), F.lit(1).cast("bigint").alias("n_bytes"),
+        F.concat(F.lit("module a(input b); "), F.repeat(F.lit("x"), 120), F.lit(" endmodule")).alias("content"),
+    )
+    eligible = pairs.gen_eligible(parse.sv_modules(files.repartition(4, "path")))
+    optimized = eligible._jdf.queryExecution().optimizedPlan().toString()
+    assert eligible.count() == 40
+    assert not [line for line in optimized.splitlines() if "Filter" in line and "regexp_extract_all" in line]
+
+
+def test_drifting_texts_are_made_above_the_scan(spark):
+    kept = dedupe.long_enough(derived.drifting_records(spark, "/root/testdata/sf0.001"))
+    optimized = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in optimized.splitlines() if "Filter" in line and "md5" in line]
+
+
+def test_signatures_of_a_batch_with_nulls():
+    texts = pa.array(["abcdefgh" * 20, None, "", "abcd", "x" * 99])
+    (made,) = sketch.signatures(iter([texts[1:]]))
+    want = [None if t is None else sketch.minima(sketch.shingle_hashes(t)).tolist() for t in texts[1:].to_pylist()]
+    assert made.to_pylist() == want and made.type == pa.list_(pa.int32())
+
+
+@pytest.mark.parametrize("n", [0, 4, 5, 6, 1000])
+def test_shingle_hashes_follow_the_rule(n):
+    text = "".join(chr(97 + i * i % 23) for i in range(n))
+    want = []
+    for i in range(max(0, n - 4)):
+        x = 0
+        for c in text[i : i + 5]:
+            x = ((x ^ ord(c)) * sketch.MIX) % 2**32
+            x ^= x >> 15
+        want.append(x)
+    assert np.array_equal(sketch.shingle_hashes(text), np.array(want, dtype=np.uint32))
