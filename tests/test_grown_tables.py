@@ -5,10 +5,9 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from corpusmill.functions import sketch
-from corpusmill.operators import dedupe, pairs, parse
+from corpusmill.operators import dedupe
 from corpusmill.workload import derived, registry
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -36,15 +35,9 @@ def test_a_shingle_is_never_a_row(spark, tmp_path):
 
 
 def test_a_filter_on_types_parses_no_file_in_the_scan(spark):
-    files = spark.range(40).select(
-        F.concat(F.lit("r/m"), F.col("id").cast("string"), F.lit(".sv")).alias("path"), F.lit("sv").alias("ext"),
-        F.lit(0).alias("ext_rank"), F.lit(1).cast("bigint").alias("n_bytes"),
-        F.concat(F.lit("module a(input b); "), F.repeat(F.lit("x"), 120), F.lit(" endmodule")).alias("content"),
-    )
-    eligible = pairs.gen_eligible(parse.sv_modules(files.repartition(4, "path")))
-    optimized = eligible._jdf.queryExecution().optimizedPlan().toString()
-    assert eligible.count() == 40
-    assert not [line for line in optimized.splitlines() if "Filter" in line and "regexp_extract_all" in line]
+    made = registry.queries()["gen_prompts"](spark, "/root/testdata/sf0.001")
+    scan = made._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    assert "size(" not in scan and "regexp_extract_all" not in scan
 
 
 def test_drifting_texts_are_made_above_the_scan(spark):
