@@ -64,3 +64,43 @@ def test_shingle_hashes_follow_the_rule(n):
             x ^= x >> 15
         want.append(x)
     assert np.array_equal(sketch.shingle_hashes(text), np.array(want, dtype=np.uint32))
+
+
+def test_texts_are_hashed_in_groups(monkeypatch):
+    """One pass over the characters of many texts; none sees the shingles of the next."""
+    texts = ["abcdefgh" * 20, "abcd", None, "", "İß é x" * 9, "𝒳𝒴 z𝒳 abc", "long " * 500, "x" * 99]
+    want = [None if t is None else sketch.minima(sketch.shingle_hashes(sketch.normalized(t))).tolist() for t in texts]
+    hashed, hashes_of = [], sketch.shingle_hashes
+    monkeypatch.setattr(sketch, "GROUP_CHARS", 1000)
+    monkeypatch.setattr(sketch, "shingle_hashes", lambda text: hashed.append(text) or hashes_of(text))
+    (made,) = sketch.signatures(iter([pa.array(texts)]))
+    assert made.to_pylist() == want and len(hashed) == 3
+
+
+def in_chains(sizes):
+    """(bucket, salt, salts, __ord) of chains of records, each in a bucket with the next."""
+    rows, at = [], 0
+    for size in sizes:
+        for i in range(at, at + size - 1):
+            rows += [(f"{i}", 0, 1, i), (f"{i}", 0, 1, i + 1)]
+        at += size
+    return rows
+
+
+def test_rounds_go_on_while_they_leave_less_than_half(spark, monkeypatch):
+    """Then no component is looked for, however many records are undecided after the first rounds."""
+    sizes = [2] * 64 + [4] * 32 + [6] * 16 + [8] * 8 + [10] * 4 + [12] * 2 + [14]
+    monkeypatch.setattr(dedupe, "components", lambda links: pytest.fail("walked"))
+    shared = spark.createDataFrame(in_chains(sizes), "bucket string, salt int, salts int, __ord bigint")
+    removed = [row[0] for each in dedupe._removed_in_rounds(shared, walk_rows=1) for row in each.collect()]
+    starts = np.cumsum([0, *sizes[:-1]])
+    assert sorted(removed) == sorted(int(s) + i for s, size in zip(starts, sizes) for i in range(1, size, 2))
+
+
+def test_dedupe_code_parses_its_files_once(spark, tmp_path):
+    """Its result reads written records, and no file is parsed again."""
+    part = [(i, f"almond {i}", "7", 3) for i in range(1, 30)]
+    spark.createDataFrame(part, "p_partkey bigint, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    found = registry.queries()["dedupe_code"](spark, str(tmp_path))
+    assert "regexp_extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() > 0
