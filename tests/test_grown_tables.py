@@ -97,6 +97,16 @@ def test_rounds_go_on_while_they_leave_less_than_half(spark, monkeypatch):
     assert sorted(removed) == sorted(int(s) + i for s, size in zip(starts, sizes) for i in range(1, size, 2))
 
 
+def test_a_code_that_was_checked_twice_is_read_once(spark):
+    codes = spark.createDataFrame([("a" * n,) for n in (*range(60), 11)] + [(None,)], "code string")
+    found = derived.lint_results(codes)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    verdict = lambda n: None if n % 5 == 0 else n % 5 != 1
+    sha = {n: hashlib.sha256(b"a" * n).hexdigest() for n in range(60) if n % 7 != 3}
+    want = {(s, ok) for n, s in sha.items() for ok in ([verdict(n), False] if n % 11 == 0 else [verdict(n)])}
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+
+
 def test_dedupe_code_parses_its_files_once(spark, tmp_path):
     """Its result reads written records, and no file is parsed again."""
     part = [(i, f"almond {i}", "7", 3) for i in range(1, 30)]
@@ -104,3 +114,15 @@ def test_dedupe_code_parses_its_files_once(spark, tmp_path):
     found = registry.queries()["dedupe_code"](spark, str(tmp_path))
     assert "regexp_extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert found.count() > 0
+
+
+def test_written_counts_labels_its_records_once(spark, tmp_path, monkeypatch):
+    """Labels are counted in the pass that writes them for the corpus; no other pass makes them."""
+    part = [(i, f"almond {i}", "7", 3) for i in range(1, 30)]
+    spark.createDataFrame(part, "p_partkey bigint, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(registry.label, "label_chunks", lambda rows: pytest.fail("labelled a second time"))
+    told = registry.queries()["written_counts"](spark, documents(spark, tmp_path, [(1, "a text " * 20), (2, None)])).collect()
+    n = {(row.stage, row.what): 0 for row in told}
+    for row in told:
+        n[row.stage, row.what] += row.n
+    assert n["parse", "n_records"] == n["label", "n_records"] == n["corpus", "candidate_docs"] > 29
