@@ -120,3 +120,21 @@ def test_prompts_are_not_broadcast_however_small_their_source(spark):
     made = pairs.gen_ingest(prompts, answers.union(answers))
     assert made.filter(F.length("input") == 1 << 20).count() == 39
     assert "BroadcastHashJoin" not in plan(made) and "BroadcastExchange" not in plan(made)
+
+
+def test_pairs_union_never_sends_its_texts_to_the_driver(spark, tmp_path):
+    """Each of its parts is made, and no table of texts is broadcast, before or after the sizes are known."""
+    part = [(i, f"almond {i}", "7", 3) for i in range(1, 60)]
+    spark.createDataFrame(part, "p_partkey bigint, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="1g",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="1g",
+    ):
+        made = entry.queries()["pairs_union"](spark, str(tmp_path))
+        first = plan(made)
+        assert {row.task_type for row in made.collect()} >= {"rtl_bug_finding", "rtl_explanation", "register_map_qa"}
+        last = plan(made)
+    assert "isFinalPlan=false" in first and "isFinalPlan=true" in last
+    for text in (first, last):
+        assert "SortMergeJoin" in text and "Broadcast" not in text
