@@ -1,14 +1,20 @@
 """Steps whose cost must not grow faster than the tables."""
 
 import hashlib
+import os
+import pathlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from corpusmill.functions import sketch
 from corpusmill.operators import dedupe
-from corpusmill.workload import derived, registry
+from corpusmill.plans import corpus
+from corpusmill.sources import corpus_text, ordered_corpus
+from corpusmill.workload import corpus_folder, derived, registry
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -126,3 +132,61 @@ def test_written_counts_labels_its_records_once(spark, tmp_path, monkeypatch):
     for row in told:
         n[row.stage, row.what] += row.n
     assert n["parse", "n_records"] == n["label", "n_records"] == n["corpus", "candidate_docs"] > 29
+
+
+def scratch(spark):
+    """What lies in the shared folder, names without their numbers."""
+    found = os.listdir(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    return Counter(name.rsplit("-", 1)[0] for name in found)
+
+
+def test_folders_have_bounded_bytes_and_go_one_after_the_other(spark, monkeypatch):
+    texts = {f"r{i % 3}/d{i}{'.md' if i % 2 else '.sv'}": f"text {i} " * (i * 40) for i in range(60)}
+    rows = [*texts.items(), ("r0/d3.md", texts["r0/d3.md"])]
+    files = spark.createDataFrame(rows, "path string, content string").withColumn("n_bytes", F.octet_length("content"))
+    monkeypatch.setattr(corpus_folder, "SHARE_BYTES", 160_000)
+    found, taken, before = {}, [], scratch(spark)["corpus"]
+    for root in corpus_folder.write_folders(files):
+        assert scratch(spark)["corpus"] == before + 1
+        each = [p for p in pathlib.Path(root).rglob("*") if p.is_file()]
+        here = {str(p.relative_to(root)): p.read_bytes().replace(derived.BAD_BYTES, b"").decode() for p in each}
+        assert not here.keys() & found.keys()
+        taken.append(sum(-(-p.stat().st_size // 4096) * 4096 for p in each))
+        found |= here
+    assert found == texts and len(taken) > 3 and max(taken) < 320_000
+    assert scratch(spark)["corpus"] == before
+
+
+def test_without_files_there_is_one_empty_folder(spark):
+    files = spark.createDataFrame([], "path string, content string, n_bytes bigint")
+    assert len(list(corpus_folder.write_folders(files))) == 1
+
+
+@pytest.mark.parametrize("share_bytes", [4 << 30, 100_000])
+def test_corpus_text_build_keeps_only_what_is_still_read(spark, tmp_path, monkeypatch, share_bytes):
+    """One folder of files at a time, and of records and chunks nothing beside the corpus."""
+    part = [(i, f"almond {i}", "7", i % 50) for i in range(1, 60)]
+    spark.createDataFrame(part, "p_partkey bigint, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    documents(spark, tmp_path, [(i, " ".join(f"w{i * j % 97}" for j in range(1, 40 * i % 900))) for i in range(40)])
+    files = derived.files(spark, str(tmp_path))
+    want = corpus_text.cpt_docs(corpus.build_chunks(files)).sort(*corpus.RECORD_ORDER).collect()
+    at_once, scan, before = [], corpus.scan_corpus, scratch(spark)
+    monkeypatch.setattr(corpus_folder, "SHARE_BYTES", share_bytes)
+    monkeypatch.setattr(corpus, "scan_corpus", lambda *a: at_once.append(scratch(spark)["corpus"] - before["corpus"]) or scan(*a))
+    found = registry.queries()["corpus_text_build"](spark, str(tmp_path)).sort("place").collect()
+    left = scratch(spark) - before
+    assert [tuple(row) for row in found] == [(i, row["content"]) for i, row in enumerate(want)] and len(want) > 50
+    assert set(at_once) == {1} and (len(at_once) > 2) == (share_bytes < 1 << 30)
+    assert left["corpus-text"] == 1 and not [left[k] for k in ("corpus", "records", "chunks", "banded", "numbered") if left[k]]
+
+
+def test_several_folders_are_one_corpus(spark, tmp_path):
+    """Copies in two folders are found, and the order goes through both."""
+    text = "module {0} (input a);\n  assign b = a; // " + "words of {0} " * 9 + "\nendmodule"
+    for root, name, of in (("x", "b.sv", "one"), ("x", "c.sv", "two"), ("y", "a.sv", "one"), ("y", "d.sv", "three")):
+        (tmp_path / root).mkdir(exist_ok=True)
+        (tmp_path / root / name).write_text(text.format(of))
+    chunks = corpus.build_corpus(spark, (str(tmp_path / root) for root in "xy"), str(tmp_path / "out"))
+    assert {(r.source_path, r.module_name) for r in chunks.collect()} == {("a.sv", "one"), ("c.sv", "two"), ("d.sv", "three")}
+    read = ordered_corpus.read_ordered(spark, str(tmp_path / "out")).sort("place").collect()
+    assert [row.content for row in read] == [text.format(of) for of in ("one", "two", "three")]
